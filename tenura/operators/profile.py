@@ -7,24 +7,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 ALL_VALUES_UPTO = 5
 SAMPLES_BEYOND = 4
 
 
-def _as_text(name: str, data_type: T.DataType):
-    if isinstance(data_type, T.TimestampType):
-        return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
-    return F.col(name).cast("string")
-
-
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, rows) of every value, NULL included, in one shuffle for all columns."""
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), _as_text(c, df.schema[c].dataType).alias("value"))
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
             for c in columns
         ]
     )

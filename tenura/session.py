@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Skewed joins are split even when the split costs one more shuffle: an account may
-# hold a large part of all rows.
+# hold a large part of all rows.  The smallest partition size only matters for small
+# shuffles, which then use all cores; large ones go by the advisory size.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
