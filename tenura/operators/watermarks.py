@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tenura import fixed_values as fv
 from tenura.operators.versioned import path_exists
 
-LOG_SCHEMA = "key string, day date, reset boolean, seq bigint"
+ROW_SCHEMA = "day date, reset boolean, seq bigint"
+LOG_SCHEMA = f"{ROW_SCHEMA}, key string"
 BEFORE_START = fv.PIPELINE_START - timedelta(days=1)
 
 
@@ -33,27 +34,30 @@ def current_watermarks(log: DataFrame) -> DataFrame:
 
 
 class Watermarks:
-    """Control table at a path."""
+    """Control table at a path, one folder per key, so that tables can run side by side."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
 
-    def log(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
+    def _read(self, path: str) -> DataFrame:
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(LOG_SCHEMA).option("basePath", self.path).parquet(path)
+
+    def log(self) -> DataFrame:
+        return self._read(self.path)
 
     def _append(self, rows: Iterable[tuple[str, date | None, bool]]) -> None:
         seq = time.time_ns()
-        data = [(key, day, reset, seq) for key, day, reset in rows]
-        self.spark.createDataFrame(data, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        for key, day, reset in rows:
+            self.spark.createDataFrame([(day, reset, seq)], ROW_SCHEMA).coalesce(1).write.mode(
+                "append"
+            ).parquet(f"{self.path}/key={key}")
 
     def get(self, key: str) -> date:
         """Last processed day; the day before the start when there is none."""
-        row = current_watermarks(self.log().where(F.col("key") == key)).first()
+        row = current_watermarks(self._read(f"{self.path}/key={key}")).first()
         return row["watermark"] if row else BEFORE_START
 
     def all(self) -> dict[str, date]:

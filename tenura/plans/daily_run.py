@@ -6,9 +6,11 @@ import logging
 import time
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,10 +86,17 @@ def _now() -> str:
 
 
 def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and count in the same pass."""
+    """Write and count in the same pass.
+
+    When adaptive execution finds the input empty it drops the rest of the plan, the
+    counter with it, and the finished write reports no count.
+    """
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0
 
 
 def ingest_table(
@@ -215,9 +224,7 @@ def refresh_marts(
     old_scores = targets["customer_health_score"]
     affected = None
     if old_scores is not None and not old_scores.isEmpty():
-        affected = cut(
-            marts.affected_accounts(subs, churn, tickets, as_of - timedelta(days=2))
-        )
+        affected = marts.affected_accounts(subs, churn, tickets, as_of - timedelta(days=2))
     fresh = {
         "mrr_monthly": marts.mrr_monthly(
             subs, churn, as_of, overlap=modes.overlap, spine=modes.spine,
@@ -243,14 +250,20 @@ def refresh_marts(
 
 
 def _each(step: str, tables: Iterable[SourceTable], work: Callable[[SourceTable], int]) -> dict:
-    """Run a step for every table; one failure does not stop the others but is raised."""
-    summary = {}
-    for table in tables:
+    """Run a step for all tables side by side; they share no files.
+
+    One failure does not stop the others but is raised at the end.
+    """
+    def one(table: SourceTable) -> dict:
         try:
-            summary[table.name] = {"status": "ok", "rows": work(table)}
+            return {"status": "ok", "rows": work(table)}
         except Exception as exc:  # noqa: BLE001 - reported below with the table's name
             log.exception("%s failed for %s", step, table.name)
-            summary[table.name] = {"status": "error", "error": str(exc)}
+            return {"status": "error", "error": str(exc)}
+
+    tables = list(tables)
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        summary = dict(zip((t.name for t in tables), pool.map(one, tables)))
     failed = [name for name, result in summary.items() if result["status"] == "error"]
     if failed:
         raise RunError(f"{step} failed for tables: {failed}")

@@ -16,6 +16,7 @@ from tenura import fixed_values as fv
 from tenura.functions.dates import month_spine
 from tenura.functions.values import money, percent_or_zero, ratio
 from tenura.operators.clean import event_window
+from tenura.session import cut
 
 BROADCAST_KEYS = 100_000
 
@@ -290,8 +291,8 @@ def health_score(
     if affected is None:
         keys, small = None, False
     else:
-        keys = affected
-        small = affected.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        keys = cut(affected)
+        small = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
     early = keys if small else None
 
     latest = (
