@@ -16,7 +16,7 @@ from tenura.operators import clean, derive, dims, enrich, profile, quality, vers
 from tenura.operators.watermarks import current_watermarks
 from tenura.plans import daily_run, marts
 from tenura.schemas import TABLES
-from tenura.session import configure, scratch_path
+from tenura.session import configure, cut, scratch_path
 from tenura.sources import csv as csv_source
 from tenura.sources import lake
 from tenura.sources import testdata as td
@@ -606,10 +606,12 @@ def declarative_checks(spark, d):
         "fact_churn_events": dirty.faulty_churn_events(churn),
         "fact_feature_usage": usage,
         "fact_support_tickets": tickets,
-        "mrr_monthly": marts.mrr_monthly(subs, churn, AS_OF),
-        "churn_summary": marts.churn_summary(churn, subs),
-        "feature_usage_summary": marts.feature_usage_summary(usage),
-        "customer_health_score": marts.health_score(accounts, subs, usage, churn, tickets, AS_OF),
+        "mrr_monthly": cut(marts.mrr_monthly(subs, churn, AS_OF)),
+        "churn_summary": cut(marts.churn_summary(churn, subs)),
+        "feature_usage_summary": cut(marts.feature_usage_summary(usage)),
+        "customer_health_score": cut(
+            marts.health_score(accounts, subs, usage, churn, tickets, AS_OF)
+        ),
     }
     return quality.declared_tests(frames)
 

@@ -18,9 +18,14 @@ def month_key(d: Column | str) -> Column:
     return F.year(d) * 100 + F.month(d)
 
 
+def month_number(d: Column) -> Column:
+    """Months since year 0: consecutive months differ by one."""
+    return F.year(d) * 12 + F.month(d) - 1
+
+
 def month_boundaries(start: Column, end: Column) -> Column:
     """Number of month boundaries between two dates."""
-    return (F.year(end) - F.year(start)) * 12 + (F.month(end) - F.month(start))
+    return month_number(end) - month_number(start)
 
 
 def whole_days(later: Column, earlier: Column) -> Column:

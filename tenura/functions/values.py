@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tenura import fixed_values as fv
 
-EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
-
 
 def money(c: Column) -> Column:
     """Two decimals, halves to even, on doubles."""
@@ -43,8 +41,8 @@ def percent_or_zero(part: Column, whole: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Drop blanks of every kind at both ends; trim() would leave tabs."""
-    return F.regexp_replace(c, EDGE_BLANKS, "")
+    """Drop blanks of every kind at both ends; a plain trim() would leave tabs."""
+    return F.trim(c, F.lit(fv.BLANKS))
 
 
 def missing_to_null(c: Column) -> Column:

@@ -9,6 +9,7 @@ from tenura import fixed_values as fv
 from tenura.functions.dates import whole_days
 from tenura.functions.values import at_least, money
 from tenura.operators.neighbours import HOT_ROWS, with_neighbours
+from tenura.session import broadcast_if_small
 
 SUBSCRIPTION_ORDER = ("start_date", "subscription_id")
 
@@ -24,10 +25,10 @@ def _by_tier(values: dict) -> Column:
 def with_plan_revenue(subs: DataFrame, plans: DataFrame) -> DataFrame:
     """List revenue, discount by tier, net monthly and yearly revenue.
 
-    The plan table has one row per tier; its size is fixed by the product, so it is
-    small enough to broadcast.
+    A tier holds a large part of all rows, so the plans go to the rows and not the rows
+    to the plans.
     """
-    prices = F.broadcast(plans.select("plan_tier", "price_per_seat_usd"))
+    prices = broadcast_if_small(plans.select("plan_tier", "price_per_seat_usd"))
     gross = F.col("seats") * F.col("price_per_seat_usd")
     discount = money(F.col("gross_revenue") * _by_tier(fv.DISCOUNT_RATES))
     return (

@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenura.session import cut
+from tenura.session import broadcast_if_small, cut
 
 HOT_ROWS = 4_000_000
-BROADCAST_KEYS = 100_000
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -139,7 +138,7 @@ def with_neighbours(
     if hot is None:
         return _in_one_window(df, keys, order, next_of, previous_of, sequence)
     size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
-    names = F.broadcast(hot) if size["keys"] <= BROADCAST_KEYS else hot
+    names = broadcast_if_small(hot, size["keys"])
     usual = df.join(names, _same(df, names, keys), "left_anti")
     large = df.join(names, _same(df, names, keys), "left_semi")
     slices = math.ceil(size["rows"] / hot_rows) + 1

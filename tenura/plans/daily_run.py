@@ -26,7 +26,7 @@ from tenura.operators.versioned import (
 )
 from tenura.operators.watermarks import Watermarks
 from tenura.plans import marts
-from tenura.schemas import TABLES, SourceTable
+from tenura.schemas import TABLES, WAREHOUSE, SourceTable
 from tenura.session import cut
 from tenura.sources.csv import read_raw
 from tenura.sources.lake import append_months, read_days, read_months, write_days
@@ -196,16 +196,31 @@ def load_table(
 
 
 def warehouse(
-    spark: SparkSession, store: Store, name: str, collapse: str = "sort_key"
+    spark: SparkSession,
+    store: Store,
+    name: str,
+    collapse: str = "sort_key",
+    first: date | None = None,
 ) -> DataFrame:
-    """Current rows of a warehouse table."""
+    """Current rows of a warehouse table, from the month of ``first`` on.
+
+    Months are left out before versions are collapsed, which is exact where the event date
+    is part of the collapse key: all versions of a row then lie in the same month.  For
+    other keys every month is read.
+    """
     if name == "dim_plans":
         return dim_plans(spark)
-    table = next(t for t in TABLES.values() if t.warehouse_name == name)
-    rows = read_months(spark, store.warehouse(name), table.warehouse_schema)
+    table = WAREHOUSE[name]
+    if collapse != "sort_key" or table.event_date not in table.sort_key:
+        first = None
+    rows = read_months(spark, store.warehouse(name), table.warehouse_schema, first)
     return current_rows(rows, table, collapse)
 
 
+def _first_day(month: int | None) -> date | None:
+    return None if month is None else date(month // 100, month % 100, 1)
+
+
 def refresh_marts(
     spark: SparkSession, store: Store, as_of: date, modes: Modes = Modes()
 ) -> dict[str, int]:
@@ -213,31 +228,45 @@ def refresh_marts(
 
     An absent or empty mart is built in full.
     """
-    def fact(name: str) -> DataFrame:
-        return warehouse(spark, store, name, modes.collapse)
+    def fact(name: str, first: date | None = None) -> DataFrame:
+        return warehouse(spark, store, name, modes.collapse, first)
 
-    subs, churn = fact("fact_subscriptions"), fact("fact_churn_events")
-    usage, tickets = fact("fact_feature_usage"), fact("fact_support_tickets")
     tables = {name: VersionedTable(spark, store.mart(name)) for name in fv.MART_KEYS}
     targets = {name: t.read() for name, t in tables.items()}
-    high = {name: marts.high_water_month(targets[name]) for name in list(fv.MART_KEYS)[:3]}
-    old_scores = targets["customer_health_score"]
-    affected = None
+    mrr_from, churn_from, usage_from = (
+        marts.high_water_month(targets[name])
+        for name in ("mrr_monthly", "churn_summary", "feature_usage_summary")
+    )
+    subs, churn, tickets = (
+        fact(n) for n in ("fact_subscriptions", "fact_churn_events", "fact_support_tickets")
+    )
+    old_scores, affected = targets["customer_health_score"], None
     if old_scores is not None and not old_scores.isEmpty():
-        affected = marts.affected_accounts(subs, churn, tickets, as_of - timedelta(days=2))
+        after = as_of - timedelta(days=2)
+        affected = marts.affected_accounts(
+            fact("fact_subscriptions", after),
+            fact("fact_churn_events", after),
+            fact("fact_support_tickets", after),
+            after,
+        )
     fresh = {
         "mrr_monthly": marts.mrr_monthly(
-            subs, churn, as_of, overlap=modes.overlap, spine=modes.spine,
-            refresh_from=high["mrr_monthly"],
-            prefilter_starts=modes.prefilter_starts and high["mrr_monthly"] is not None,
+            subs, fact("fact_churn_events", _first_day(mrr_from)), as_of,
+            overlap=modes.overlap, spine=modes.spine, refresh_from=mrr_from,
+            prefilter_starts=modes.prefilter_starts and mrr_from is not None,
+        ),
+        "churn_summary": marts.churn_summary(
+            fact("fact_churn_events", _first_day(churn_from)),
+            fact("fact_subscriptions", _first_day(churn_from)),
+            refresh_from=churn_from,
         ),
-        "churn_summary": marts.churn_summary(churn, subs, refresh_from=high["churn_summary"]),
         "feature_usage_summary": marts.feature_usage_summary(
-            usage, refresh_from=high["feature_usage_summary"]
+            fact("fact_feature_usage", _first_day(usage_from)), refresh_from=usage_from
         ),
         "customer_health_score": marts.health_score(
-            fact("dim_accounts"), subs, usage, churn, tickets, as_of,
-            unmatched=modes.unmatched, affected=affected,
+            fact("dim_accounts"), subs,
+            fact("fact_feature_usage", as_of - timedelta(days=fv.USAGE_WINDOW_DAYS)),
+            churn, tickets, as_of, unmatched=modes.unmatched, affected=affected,
         ),
     }
     versions = {}

@@ -13,12 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenura import fixed_values as fv
-from tenura.functions.dates import month_spine
+from tenura.functions.dates import month_number, month_spine
 from tenura.functions.values import money, percent_or_zero, ratio
 from tenura.operators.clean import event_window
-from tenura.session import cut
-
-BROADCAST_KEYS = 100_000
+from tenura.session import BROADCAST_ROWS, cut
 
 
 def _from_month(df: DataFrame, column: str, refresh_from: int | None) -> DataFrame:
@@ -45,19 +43,27 @@ def active_months(subs: DataFrame, months: list[date], overlap: str = "reference
     month number is not below that of the start, so a term that starts in November is not
     active in the next January.
     """
-    if not months:
+    numbers = sorted(m.year * 12 + m.month - 1 for m in months)
+    if not numbers:
         return subs.limit(0).withColumns({"year": F.lit(0), "month": F.lit(0)})
-    first = F.greatest(F.trunc("start_date", "MM"), F.lit(months[0]))
-    last = F.least(F.trunc("end_date", "MM"), F.lit(months[-1]))
+    first = F.greatest(month_number(F.col("start_date")), F.lit(numbers[0]))
+    last = F.least(month_number(F.col("end_date")), F.lit(numbers[-1]))
     spans = (
-        subs.where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
+        subs.where("start_date is not null and end_date is not null")
         .where(first <= last)
-        .withColumn("_month", F.explode(F.sequence(first, last, F.expr("interval 1 month"))))
-        .where(F.col("_month").isin(months))
+        .withColumn("_month", F.explode(F.sequence(first, last)))
+        .withColumns(
+            {
+                "year": F.floor(F.col("_month") / 12).cast("int"),
+                "month": F.col("_month") % 12 + 1,
+            }
+        )
     )
+    if len(numbers) != numbers[-1] - numbers[0] + 1:
+        spans = spans.where(F.col("_month").isin(numbers))
     if overlap == "reference":
-        spans = spans.where(F.month("start_date") <= F.month("_month"))
-    return spans.withColumns(_year_month("_month")).drop("_month")
+        spans = spans.where(F.month("start_date") <= F.col("month"))
+    return spans.drop("_month")
 
 
 def _mrr(subs: DataFrame, churn: DataFrame, months: list[date], overlap: str,
@@ -292,7 +298,7 @@ def health_score(
         keys, small = None, False
     else:
         keys = cut(affected)
-        small = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        small = keys.count() <= BROADCAST_ROWS
     early = keys if small else None
 
     latest = (

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Skewed joins are split even when the split costs one more shuffle: an account may
 # hold a large part of all rows.  The smallest partition size only matters for small
@@ -35,6 +36,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,10 +64,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and go on from there.
+    """Write the rows to the shared folder once and go on from the written table.
 
-    Used where a later step must see exactly the same rows again, also after an
-    executor is lost.
+    Used where several steps must see exactly the same rows, also after an executor is
+    lost, and where computing them twice would cost more than a write.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+# A frame is broadcast only after its rows were counted.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mark a narrow frame for broadcast if it has few rows; else leave the join to Spark.
+
+    ``rows`` is the number of rows where the caller already counted them.
+    """
+    rows = df.count() if rows is None else rows
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

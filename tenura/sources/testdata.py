@@ -6,18 +6,30 @@ subscriptions, line items feature usage and events support tickets.
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura import fixed_values as fv
-from tenura.functions.values import padded_id
 from tenura.operators.derive import with_ever_churned
 
 # Fixed values of the mapping.
-ORDER_DATES_FROM = date(1995, 1, 1)
-DAYS_IN_RANGE = 1096
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
 REFERRALS = ("organic", "ads", "partner", "outbound", "event", "other")
 FEATURES = ("dashboard", "api", "export", "automation", "integration")
 REASONS = {
@@ -31,120 +43,106 @@ LIST_PRICE = (0, 10, 25, 60)
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir}/{name}.parquet")
+    """A supplied table; its schema is stated, so no file is opened to find it."""
+    return spark.read.schema(COLUMNS[name]).parquet(f"{data_dir}/{name}.parquet")
+
+
+def _id(prefix: str, key: str) -> str:
+    """Prefix and zero-padded number; numbers above nine digits are kept whole."""
+    return f"concat('{prefix}', lpad({key}, greatest(9, length({key})), '0'))"
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values, index: str) -> str:
+    return f"element_at(array({', '.join(repr(v) for v in values)}), int({index}) + 1)"
 
 
-def _folded(c: str) -> Column:
-    days = F.datediff(F.to_date(c), F.lit(ORDER_DATES_FROM)) % DAYS_IN_RANGE
-    return F.date_add(F.lit(fv.PIPELINE_START), days)
+def _folded(column: str) -> str:
+    return f"date_add(date'2024-01-01', datediff(date({column}), date'1995-01-01') % 1096)"
 
 
-def _tier(key: str) -> Column:
-    return _pick(fv.PLAN_TIERS, F.col(key) % 4)
+_START = _folded("o_orderdate")
+_END = f"timestamp({_START}) + make_dt_interval(int(30 + o_orderkey % 151), int(o_orderkey % 24))"
+_SUBSCRIBED = "o_custkey % 10 <> 9"
 
 
 def subscriptions(spark: SparkSession, data_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    start = _folded("o_orderdate")
-    term = F.make_dt_interval(days=(30 + key % 151).cast("int"), hours=(key % 24).cast("int"))
-    seats = (1 + key % 50).cast("int")
-    revenue = (seats * _pick(LIST_PRICE, key % 4)).cast("double")
     return (
         table(spark, data_dir, "orders")
-        .where(F.col("o_custkey") % 10 != 9)
-        .select(
-            padded_id("S", key).alias("subscription_id"),
-            padded_id("A", F.col("o_custkey")).alias("account_id"),
-            start.alias("start_date"),
-            (start.cast("timestamp") + term).alias("end_date"),
-            _tier("o_orderkey").alias("plan_tier"),
-            seats.alias("seats"),
-            revenue.alias("mrr_amount"),
-            F.when(key % 2 == 0, "monthly").otherwise("annual").alias("billing_frequency"),
+        .where(_SUBSCRIBED)
+        .selectExpr(
+            f"{_id('S', 'o_orderkey')} as subscription_id",
+            f"{_id('A', 'o_custkey')} as account_id",
+            f"{_START} as start_date",
+            f"{_END} as end_date",
+            f"{_pick(fv.PLAN_TIERS, 'o_orderkey % 4')} as plan_tier",
+            "int(1 + o_orderkey % 50) as seats",
+            f"double((1 + o_orderkey % 50) * {_pick(LIST_PRICE, 'o_orderkey % 4')}) as mrr_amount",
+            "if(o_orderkey % 2 = 0, 'monthly', 'annual') as billing_frequency",
         )
     )
 
 
 def churn_events(spark: SparkSession, data_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    start = _folded("o_orderdate")
-    term = F.make_dt_interval(days=(30 + key % 151).cast("int"), hours=(key % 24).cast("int"))
-    reason = F.col("o_orderpriority")
-    named = None
-    for code, text in REASONS.items():
-        named = (F if named is None else named).when(reason == code, text)
+    reasons = " ".join(f"when '{code}' then '{text}'" for code, text in REASONS.items())
     return (
         table(spark, data_dir, "orders")
-        .where((F.col("o_custkey") % 10 != 9) & (F.col("o_orderstatus") == "F"))
-        .select(
-            padded_id("C", key).alias("churn_event_id"),
-            padded_id("A", F.col("o_custkey")).alias("account_id"),
-            F.to_date(start.cast("timestamp") + term).alias("churn_date"),
-            named.alias("reason_code"),
-            F.when(key % 151 < 30, key % 97).otherwise(0).cast("double").alias("refund_amount_usd"),
-            (key % 10 < 3).alias("is_reactivation"),
+        .where(f"{_SUBSCRIBED} and o_orderstatus = 'F'")
+        .selectExpr(
+            f"{_id('C', 'o_orderkey')} as churn_event_id",
+            f"{_id('A', 'o_custkey')} as account_id",
+            f"date({_END}) as churn_date",
+            f"case o_orderpriority {reasons} end as reason_code",
+            "double(if(o_orderkey % 151 < 30, o_orderkey % 97, 0)) as refund_amount_usd",
+            "o_orderkey % 10 < 3 as is_reactivation",
         )
     )
 
 
 def accounts(spark: SparkSession, data_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     nations = table(spark, data_dir, "nation").select("n_nationkey", "n_name")
     rows = (
         table(spark, data_dir, "customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            padded_id("A", key).alias("account_id"),
-            F.col("c_name").alias("account_name"),
-            F.col("c_mktsegment").alias("industry"),
-            F.col("n_name").alias("country"),
-            F.date_add(F.lit(fv.PIPELINE_START), (key % DAYS_IN_RANGE).cast("int")).alias("signup_date"),
-            _pick(REFERRALS, key % 6).alias("referral_source"),
-            _tier("c_custkey").alias("plan_tier"),
-            (1 + key % 50).cast("int").alias("seats"),
-            (key % 5 < 2).alias("is_trial"),
+        .selectExpr(
+            f"{_id('A', 'c_custkey')} as account_id",
+            "c_name as account_name",
+            "c_mktsegment as industry",
+            "n_name as country",
+            "date_add(date'2024-01-01', int(c_custkey % 1096)) as signup_date",
+            f"{_pick(REFERRALS, 'c_custkey % 6')} as referral_source",
+            f"{_pick(fv.PLAN_TIERS, 'c_custkey % 4')} as plan_tier",
+            "int(1 + c_custkey % 50) as seats",
+            "c_custkey % 5 < 2 as is_trial",
         )
     )
     return with_ever_churned(rows, churn_events(spark, data_dir))
 
 
 def feature_usage(spark: SparkSession, data_dir: str) -> DataFrame:
-    order, part = F.col("l_orderkey"), F.col("l_partkey")
-    return table(spark, data_dir, "lineitem").select(
-        F.concat(padded_id("U", order), F.lit("-"), F.col("l_linenumber").cast("string")).alias("usage_id"),
-        padded_id("S", order).alias("subscription_id"),
-        _folded("l_shipdate").alias("usage_date"),
-        _pick(FEATURES, part % 5).alias("feature_name"),
-        F.col("l_quantity").cast("int").alias("usage_count"),
-        (F.col("l_quantity") * (10 + F.col("l_suppkey") % 51)).cast("int").alias("usage_duration_secs"),
-        (F.col("l_linenumber") % 4).cast("int").alias("error_count"),
-        (part % 10 == 0).alias("is_beta_feature"),
+    return table(spark, data_dir, "lineitem").selectExpr(
+        f"concat({_id('U', 'l_orderkey')}, '-', l_linenumber) as usage_id",
+        f"{_id('S', 'l_orderkey')} as subscription_id",
+        f"{_folded('l_shipdate')} as usage_date",
+        f"{_pick(FEATURES, 'l_partkey % 5')} as feature_name",
+        "int(l_quantity) as usage_count",
+        "int(l_quantity * (10 + l_suppkey % 51)) as usage_duration_secs",
+        "l_linenumber % 4 as error_count",
+        "l_partkey % 10 = 0 as is_beta_feature",
     )
 
 
 def support_tickets(spark: SparkSession, data_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    hours = (1 + key % 72).cast("int")
-    kind = F.col("event_type")
-    still_open = key % 7 == 0
-    submitted = F.col("ts").cast("timestamp")
-    return table(spark, data_dir, "events").select(
-        padded_id("T", key).alias("ticket_id"),
-        padded_id("A", F.col("user_id")).alias("account_id"),
-        submitted.alias("submitted_at"),
-        F.when(~still_open, submitted + F.make_dt_interval(hours=hours)).alias("closed_at"),
-        F.when(~still_open, hours.cast("double")).alias("resolution_time_hours"),
-        F.when(kind == "error", "high")
-        .when(kind.isin("purchase", "signup"), "medium")
-        .otherwise("low")
-        .alias("priority"),
-        (5 + key % 116).cast("int").alias("first_response_time_minutes"),
-        F.when(key % 5 >= 2, 1 + (key % 9) * 0.5).alias("satisfaction_score"),
-        (key % 10 == 0).alias("escalation_flag"),
+    return table(spark, data_dir, "events").selectExpr(
+        f"{_id('T', 'event_id')} as ticket_id",
+        f"{_id('A', 'user_id')} as account_id",
+        "timestamp(ts) as submitted_at",
+        "if(event_id % 7 <> 0, timestamp(ts) + make_dt_interval(0, int(1 + event_id % 72)), null) as closed_at",
+        "if(event_id % 7 <> 0, double(1 + event_id % 72), null) as resolution_time_hours",
+        "case when event_type = 'error' then 'high' "
+        "when event_type in ('purchase', 'signup') then 'medium' else 'low' end as priority",
+        "int(5 + event_id % 116) as first_response_time_minutes",
+        "if(event_id % 5 >= 2, double(1 + (event_id % 9) * 0.5), null) as satisfaction_score",
+        "event_id % 10 = 0 as escalation_flag",
     )
 
 
