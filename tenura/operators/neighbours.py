@@ -57,6 +57,7 @@ def _in_one_window(
 def _in_slices(
     df: DataFrame,
     slices: int,
+    large_keys: int,
     keys: Sequence[str],
     order: Sequence[str],
     next_of: Mapping[str, str],
@@ -97,8 +98,10 @@ def _in_slices(
         | {f"_n_{name}": F.lead(c).over(inside) for name, c in next_of.items()}
         | {f"_p_{name}": F.lag(c).over(inside) for name, c in previous_of.items()}
     )
+    # A key spans neighbouring slices, so there are at most this many (key, slice) pairs.
+    bounded = broadcast_if_small(edges, large_keys + slices)
     joined = rows.alias("r").join(
-        edges.alias("e"),
+        bounded.alias("e"),
         reduce(
             lambda a, b: a & b,
             [F.col(f"r.{n}").eqNullSafe(F.col(f"e.{n}")) for n in [*keys, "_slice"]],
@@ -143,5 +146,5 @@ def with_neighbours(
     large = df.join(names, _same(df, names, keys), "left_semi")
     slices = math.ceil(size["rows"] / hot_rows) + 1
     return _in_one_window(usual, keys, order, next_of, previous_of, sequence).unionByName(
-        _in_slices(large, slices, keys, order, next_of, previous_of, sequence)
+        _in_slices(large, slices, size["keys"], keys, order, next_of, previous_of, sequence)
     )

@@ -107,7 +107,8 @@ class VersionedTable:
         return version
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists on whatever file system the path names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a path or pattern, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0

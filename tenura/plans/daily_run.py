@@ -24,7 +24,7 @@ from tenura.operators.enrich import ENRICHERS
 from tenura.operators.versioned import (
     VersionedTable, current_rows, delete_insert, with_version,
 )
-from tenura.operators.watermarks import Watermarks
+from tenura.operators.watermarks import BEFORE_START, Watermarks
 from tenura.plans import marts
 from tenura.schemas import TABLES, WAREHOUSE, SourceTable
 from tenura.session import cut
@@ -139,7 +139,7 @@ def transform_table(
         extra = {"tail": modes.tail, "as_of": batch_date}
         if modes.scope == "history":
             touched = new.select("account_id").distinct()
-            everything = read_days(spark, lake, table.lake_schema, date(1, 1, 1), batch_date)
+            everything = read_days(spark, lake, table.lake_schema, BEFORE_START, batch_date)
             new = everything.join(touched, "account_id", "left_semi").withColumn(
                 "_ingestion_time", F.lit(_now())
             )
@@ -299,33 +299,49 @@ def _each(step: str, tables: Iterable[SourceTable], work: Callable[[SourceTable]
     return summary
 
 
+Sources = dict[str, DataFrame]
+
+
+def ingest_all(
+    spark: SparkSession, store: Store, batch_date: date, sources: Sources | None = None
+) -> dict:
+    """Raw rows into the lake, from files or from given frames of raw rows."""
+    given = sources or {}
+    return _each(
+        "ingest", TABLES.values(),
+        lambda t: ingest_table(spark, store, t, batch_date, given.get(t.name)),
+    )
+
+
+def transform_all(
+    spark: SparkSession, store: Store, batch_date: date, modes: Modes = Modes()
+) -> dict:
+    return _each(
+        "transform", TABLES.values(), lambda t: transform_table(spark, store, t, batch_date, modes)
+    )
+
+
+def load_all(spark: SparkSession, store: Store, load_date: date, modes: Modes = Modes()) -> dict:
+    return _each("load", TABLES.values(), lambda t: load_table(spark, store, t, load_date, modes))
+
+
 def run_day(
     spark: SparkSession, store: Store, batch_date: date, *,
-    as_of: date | None = None, modes: Modes = Modes(), sources: dict[str, DataFrame] | None = None,
+    as_of: date | None = None, modes: Modes = Modes(), sources: Sources | None = None,
 ) -> dict:
     """All steps for one date; a failed check stops the run before the warehouse."""
-    sources = sources or {}
-    tables = list(TABLES.values())
-    result = {
-        "ingest": _each(
-            "ingest", tables,
-            lambda t: ingest_table(spark, store, t, batch_date, sources.get(t.name)),
-        ),
-        "transform": _each(
-            "transform", tables, lambda t: transform_table(spark, store, t, batch_date, modes)
-        ),
+    return {
+        "ingest": ingest_all(spark, store, batch_date, sources),
+        "transform": transform_all(spark, store, batch_date, modes),
+        "checks": quality.enforce(check_batch(spark, store, batch_date)),
+        "load": load_all(spark, store, batch_date, modes),
+        "marts": refresh_marts(spark, store, as_of or batch_date, modes),
     }
-    result["checks"] = quality.enforce(check_batch(spark, store, batch_date))
-    result["load"] = _each(
-        "load", tables, lambda t: load_table(spark, store, t, batch_date, modes)
-    )
-    result["marts"] = refresh_marts(spark, store, as_of or batch_date, modes)
-    return result
 
 
 def backfill(
     spark: SparkSession, store: Store, first: date, last: date, *,
-    step_days: int = 1, modes: Modes = Modes(), sources: dict[str, DataFrame] | None = None,
+    step_days: int = 1, modes: Modes = Modes(), sources: Sources | None = None,
 ) -> list[dict]:
     """Replay a range of dates in steps; one step over the whole range is one wide run."""
     results, day = [], first

@@ -12,6 +12,7 @@ from tenura.functions.dates import month_key
 from tenura.operators.versioned import path_exists
 
 PARTITIONS = ("year", "month", "day")
+DAY_FOLDERS = "year=[0-9][0-9][0-9][0-9]/month=[0-9][0-9]/day=[0-9][0-9]"
 
 
 def write_days(df: DataFrame, path: str, event_date: str) -> None:
@@ -39,9 +40,9 @@ def write_days(df: DataFrame, path: str, event_date: str) -> None:
 
 
 def _days_between(after: date, upto: date) -> Column:
-    """Partition predicate for after < day <= upto, on the partition columns alone."""
-    key = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-    return (key > int(after.strftime("%Y%m%d"))) & (key <= int(upto.strftime("%Y%m%d")))
+    """Partition predicate for after < day <= upto; no date at all, no match."""
+    day = F.expr("try_to_date(format_string('%04d-%02d-%02d', year, month, day))")
+    return (day > F.lit(after)) & (day <= F.lit(upto))
 
 
 def read_days(
@@ -49,16 +50,18 @@ def read_days(
 ) -> DataFrame | None:
     """Rows of the days in (after, upto]; None when nothing was ever written.
 
-    Only the partitions in the range are given to tasks.  The schema is stated, so no file
-    has to be opened to find it, and a column that some days lack reads as NULL.
+    Only the partitions in the range are given to tasks, and folders that do not follow the
+    layout are left alone.  The schema is stated, so no file has to be opened to find it,
+    and a column that some days lack reads as NULL.
     """
-    if not path_exists(spark, path):
+    folders = f"{path}/{DAY_FOLDERS}"
+    if not path_exists(spark, folders):
         return None
     dated = T.StructType(
         [f for f in schema.fields if f.name not in PARTITIONS]
         + [T.StructField(p, T.IntegerType()) for p in PARTITIONS]
     )
-    rows = spark.read.schema(dated).parquet(path)
+    rows = spark.read.schema(dated).option("basePath", path).parquet(folders)
     return rows.where(_days_between(after, upto)).drop(*PARTITIONS)
 
 

@@ -107,3 +107,20 @@ def test_missing_file_is_skipped_and_failures_are_named(spark, tmp_path):
     state = Watermarks(spark, store.watermarks).all()
     assert state["ingestion_accounts"] == LAST
     assert "ingestion_churn_events" not in state and "ingestion_feature_usage" not in state
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from tenura.__main__ import main
+
+    store = _store(tmp_path, "cli", bad_mrr=True)
+    where = ["--root", store.root, "--raw", store.raw_dir]
+    assert main(["ingest", *where, "--date", "2024-06-30"]) == 0
+    assert json.loads(capsys.readouterr().out)["support_tickets"] == {"status": "ok", "rows": 6}
+    assert main(["transform", *where, "--date", "2024-06-30"]) == 0
+    assert main(["check", *where, "--date", "2024-06-30"]) == 1
+    assert "date_order" in capsys.readouterr().err
+    assert main(["reset", *where, "--key", "ingestion_accounts"]) == 0
+    left = json.loads(capsys.readouterr().out)
+    assert "ingestion_accounts" not in left and left["transform_accounts"] == "2024-06-30"
