@@ -493,14 +493,14 @@ def watermark_state(spark, d):
     )
     log = days.select(
         "key", "day", F.lit(False).alias("reset"),
-        F.datediff("day", F.lit(fv.PIPELINE_START)).cast("bigint").alias("seq"),
+        F.datediff("day", F.lit(fv.FIRST_DAY)).cast("bigint").alias("seq"),
     )
     resets = (
         log.groupBy("key").agg(F.max("seq").alias("top"))
         .where(F.col("key").isin("ingestion_accounts", "ingestion_subscriptions"))
         .select(
             "key",
-            F.when(F.col("key") == "ingestion_subscriptions", F.lit(fv.PIPELINE_START)).alias("day"),
+            F.when(F.col("key") == "ingestion_subscriptions", F.lit(fv.FIRST_DAY)).alias("day"),
             F.lit(True).alias("reset"),
             F.when(F.col("key") == "ingestion_subscriptions", F.col("top") + 1)
             .otherwise(F.col("top") - 10).alias("seq"),

@@ -9,8 +9,8 @@ from __future__ import annotations
 from datetime import date
 
 # --- fixed values: calendar -------------------------------------------------
-PIPELINE_START = date(2024, 1, 1)
-PIPELINE_END = date(2026, 12, 31)
+FIRST_DAY = date(2024, 1, 1)
+LAST_DAY = date(2026, 12, 31)
 FIRST_MONTH_KEY = 202401
 SPINE_STEP_DAYS = 30
 
@@ -170,6 +170,24 @@ MART_KEYS = {
     "customer_health_score": ("account_id",),
 }
 
+# --- fixed values: texts of the batch checks -------------------------------------------
+CHECK_TEXT = {
+    "rows": " rows",
+    "null_key": " nulls in '{key}'",
+    "repeated_key": " duplicates in '{key}'",
+    "no_revenue": "no revenue columns",
+    "revenue_good": "all >= 0",
+    "revenue_bad": "negative",
+    "no_order": "not applicable",
+    "order_missing": "columns missing: {columns}",
+    "order": " rows where end < start",
+    "bounds_missing": "'{column}' not found",
+    "bounds": " rows outside [{first}, {last}]",
+    "critical_good": "all critical cols non-null",
+    "critical_bad": "nulls",
+    "empty": "no rows in the window",
+}
+
 # --- fixed values: watermark keys -------------------------------------------------------
 WATERMARK_KEYS = (
     "ingestion_accounts",

@@ -71,7 +71,7 @@ def month_spine(as_of: date, spine: str = "reference") -> list[date]:
     ``reference`` steps 30 days at a time, one step per month since the start, so it
     skips February 2024 and falls behind later on; ``calendar`` lists every month.
     """
-    first = fv.PIPELINE_START
+    first = fv.FIRST_DAY
     if spine == "calendar":
         return calendar_months(first, as_of)
     steps = (as_of.year - first.year) * 12 + as_of.month - first.month + 1

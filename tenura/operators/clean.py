@@ -85,7 +85,7 @@ def event_window(df: DataFrame, column: str, after: date, upto: date) -> DataFra
 def rolling_bounds(batch_date: date) -> tuple[date, date]:
     """First and last day checked for a batch: 31 days, not before the start date."""
     start = batch_date - timedelta(days=fv.CHECK_WINDOW_DAYS)
-    return max(start, fv.PIPELINE_START), batch_date
+    return max(start, fv.FIRST_DAY), batch_date
 
 
 def rolling_window(df: DataFrame, column: str, batch_date: date) -> DataFrame:

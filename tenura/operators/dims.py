@@ -16,7 +16,7 @@ def dim_plans(spark: SparkSession) -> DataFrame:
 
 
 def dim_date(
-    spark: SparkSession, first: date = fv.PIPELINE_START, last: date = fv.PIPELINE_END
+    spark: SparkSession, first: date = fv.FIRST_DAY, last: date = fv.LAST_DAY
 ) -> DataFrame:
     """One row per day with its calendar attributes."""
     d = F.col("date_key")

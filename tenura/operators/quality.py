@@ -14,6 +14,9 @@ from tenura.functions.dates import parse_day, parse_timestamp
 from tenura.schemas import SourceTable
 
 
+TEXT = fv.CHECK_TEXT
+
+
 class DataQualityError(Exception):
     """At least one check failed."""
 
@@ -54,11 +57,11 @@ def _text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _listing(columns: Iterable[str], suffix: str, empty: str) -> Column:
+def _listing(columns: Iterable[str], counter: str, word: str, empty: str) -> Column:
     """'a: 3 nulls, b: 1 nulls' over the columns whose count is above zero."""
+    counts = {c: F.col(f"_{counter}_{c}") for c in columns}
     parts = [
-        F.when(F.col(f"_{suffix}_{c}") > 0, _text(f"{c}: ", F.col(f"_{suffix}_{c}").cast("string"), f" {suffix}"))
-        for c in columns
+        F.when(n > 0, _text(f"{c}: ", n.cast("string"), f" {word}")) for c, n in counts.items()
     ]
     joined = F.concat_ws(", ", *parts)
     return F.when(joined == "", F.lit(empty)).otherwise(joined)
@@ -91,50 +94,50 @@ def check_table(df: DataFrame, table: SourceTable) -> DataFrame:
     bounded = table.event_date in present
     if bounded:
         day = _day(df, table.event_date)
-        counts["_bounds"] = F.count_if(~day.between(F.lit(fv.PIPELINE_START), F.lit(fv.PIPELINE_END)))
+        counts["_bounds"] = F.count_if(~day.between(F.lit(fv.FIRST_DAY), F.lit(fv.LAST_DAY)))
     totals = df.agg(*[c.alias(name) for name, c in counts.items()])
 
     rows = [
         _row(
             "non_empty_batch",
             _status(F.col("_rows") == 0, "WARNING"),
-            _text(F.format_number("_rows", 0), " rows"),
+            _text(F.format_number("_rows", 0), TEXT["rows"]),
             (F.col("_rows") == 0).cast("int"),
         ),
         _row(
             "no_null_pk",
             _status(F.col("_null_pk") != 0, "FAIL"),
-            _text(F.col("_null_pk").cast("string"), f" nulls in '{table.key}'"),
+            _text(F.col("_null_pk").cast("string"), TEXT["null_key"].format(key=table.key)),
             F.col("_null_pk"),
         ),
     ]
     if not revenue and not table.revenue:
-        rows.append(_row("no_negative_revenue", F.lit("SKIP"), F.lit("no revenue columns"), F.lit(0)))
+        rows.append(_row("no_negative_revenue", F.lit("SKIP"), F.lit(TEXT["no_revenue"]), F.lit(0)))
     else:
         negative = _total([f"_negative_{c}" for c in revenue])
         rows.append(
             _row(
                 "no_negative_revenue",
                 _status(negative > 0, "FAIL"),
-                _listing(revenue, "negative", "all >= 0"),
+                _listing(revenue, "negative", TEXT["revenue_bad"], TEXT["revenue_good"]),
                 negative,
             )
         )
     if not table.date_order:
-        rows.append(_row("date_order", F.lit("SKIP"), F.lit("not applicable"), F.lit(0)))
+        rows.append(_row("date_order", F.lit("SKIP"), F.lit(TEXT["no_order"]), F.lit(0)))
     elif missing:
-        rows.append(_row("date_order", F.lit("SKIP"), F.lit(f"columns missing: {missing}"), F.lit(0)))
+        rows.append(_row("date_order", F.lit("SKIP"), F.lit(TEXT["order_missing"].format(columns=missing)), F.lit(0)))
     else:
         rows.append(
             _row(
                 "date_order",
                 _status(F.col("_order") > 0, "FAIL"),
-                _text(F.col("_order").cast("string"), " rows where end < start"),
+                _text(F.col("_order").cast("string"), TEXT["order"]),
                 F.col("_order"),
             )
         )
     if bounded:
-        limits = f" rows outside [{fv.PIPELINE_START}, {fv.PIPELINE_END}]"
+        limits = TEXT["bounds"].format(first=fv.FIRST_DAY, last=fv.LAST_DAY)
         rows.append(
             _row(
                 "date_bounds",
@@ -145,14 +148,19 @@ def check_table(df: DataFrame, table: SourceTable) -> DataFrame:
         )
     else:
         rows.append(
-            _row("date_bounds", F.lit("SKIP"), F.lit(f"'{table.event_date}' not found"), F.lit(0))
+            _row(
+                "date_bounds",
+                F.lit("SKIP"),
+                F.lit(TEXT["bounds_missing"].format(column=table.event_date)),
+                F.lit(0),
+            )
         )
     nulls = _total([f"_nulls_{c}" for c in critical])
     rows.append(
         _row(
             "no_null_critical_cols",
             _status(nulls > 0, "FAIL"),
-            _listing(critical, "nulls", "all critical cols non-null"),
+            _listing(critical, "nulls", TEXT["critical_bad"], TEXT["critical_good"]),
             nulls,
         )
     )
@@ -174,7 +182,7 @@ def check_table(df: DataFrame, table: SourceTable) -> DataFrame:
         _row(
             "no_duplicate_pk",
             _status(F.col("_dups") != 0, "WARNING"),
-            _text(F.col("_dups").cast("string"), f" duplicates in '{table.key}'"),
+            _text(F.col("_dups").cast("string"), TEXT["repeated_key"].format(key=table.key)),
             F.col("_dups"),
         ).alias("_c"),
     ).select("_rows", "_c.*")
@@ -184,7 +192,7 @@ def check_table(df: DataFrame, table: SourceTable) -> DataFrame:
         F.lit(table.name).alias("table_name"),
         "check_name",
         F.when(empty, F.lit("SKIP")).otherwise(F.col("status")).alias("status"),
-        F.when(empty, F.lit("no rows in the window")).otherwise(F.col("detail")).alias("detail"),
+        F.when(empty, F.lit(TEXT["empty"])).otherwise(F.col("detail")).alias("detail"),
         F.when(empty, F.lit(0).cast("bigint")).otherwise(F.col("violations")).alias("violations"),
     )
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tenura.operators.clean import keep_last
 from tenura.schemas import SourceTable
 
 VERSION = "_updated_at"
@@ -19,9 +19,13 @@ def with_version(df: DataFrame, version: int) -> DataFrame:
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], version: str = VERSION) -> DataFrame:
-    """Newest row per key by version, whatever order the rows were written in."""
-    tie = [c for c in ("_batch_id",) if c in df.columns]
-    return keep_last(df, keys, [version, *tie])
+    """Newest row per key by version, whatever order the rows were written in.
+
+    A key has one row per version, as a load writes it, so the version alone decides and a
+    reader that needs two columns reads those, the key and the version.
+    """
+    newest = Window.partitionBy(*keys).orderBy(F.col(version).desc())
+    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
 def current_rows(df: DataFrame, table: SourceTable, keys: str = "sort_key") -> DataFrame:

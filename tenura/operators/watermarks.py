@@ -18,7 +18,7 @@ from tenura.operators.versioned import path_exists
 
 ROW_SCHEMA = "day date, reset boolean, seq bigint"
 LOG_SCHEMA = f"{ROW_SCHEMA}, key string"
-BEFORE_START = fv.PIPELINE_START - timedelta(days=1)
+BEFORE_START = fv.FIRST_DAY - timedelta(days=1)
 
 
 def current_watermarks(log: DataFrame) -> DataFrame:
@@ -76,5 +76,5 @@ class Watermarks:
         ``reference`` sets them to the first day, whose rows a later run then leaves out;
         ``corrected`` forgets them, so that the first day is read again.
         """
-        day = fv.PIPELINE_START if mode == "reference" else None
+        day = fv.FIRST_DAY if mode == "reference" else None
         self._append([(key, day, True) for key in fv.WATERMARK_KEYS])

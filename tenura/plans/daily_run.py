@@ -22,12 +22,12 @@ from tenura.operators.clean import (
 from tenura.operators.dims import dim_plans
 from tenura.operators.enrich import ENRICHERS
 from tenura.operators.versioned import (
-    VersionedTable, current_rows, delete_insert, with_version,
+    VersionedTable, delete_insert, latest_version, with_version,
 )
 from tenura.operators.watermarks import BEFORE_START, Watermarks
 from tenura.plans import marts
 from tenura.schemas import TABLES, WAREHOUSE, SourceTable
-from tenura.session import cut
+from tenura.session import BROADCAST_ROWS, cut
 from tenura.sources.csv import read_raw
 from tenura.sources.lake import append_months, read_days, read_months, write_days
 
@@ -160,7 +160,7 @@ def staged(spark: SparkSession, store: Store, table: SourceTable, first=None, la
 
 def check_batch(spark: SparkSession, store: Store, batch_date: date) -> DataFrame:
     """Results of all checks on the 31 days up to the batch date, as one frame."""
-    first = max(batch_date - timedelta(days=fv.CHECK_WINDOW_DAYS), fv.PIPELINE_START)
+    first = max(batch_date - timedelta(days=fv.CHECK_WINDOW_DAYS), fv.FIRST_DAY)
     frames = {
         t.name: rolling_window(staged(spark, store, t, first, batch_date), t.event_date, batch_date)
         for t in TABLES.values()
@@ -171,7 +171,11 @@ def check_batch(spark: SparkSession, store: Store, batch_date: date) -> DataFram
 def load_table(
     spark: SparkSession, store: Store, table: SourceTable, load_date: date, modes: Modes = Modes()
 ) -> int:
-    """New staging rows into the warehouse table under a new version, columns by name."""
+    """New staging rows into the warehouse table under a new version, columns by name.
+
+    Staging may hold a row twice after a reset; one load writes each key once, so that a
+    version of a key is one row.
+    """
     state, key = Watermarks(spark, store.watermarks), f"warehouse_{table.warehouse_name}"
     watermark = state.get(key)
     rows = event_window(
@@ -179,12 +183,9 @@ def load_table(
     )
     if table.name == "subscriptions" and modes.scope == "history":
         touched = rows.select("account_id").distinct()
-        rows = keep_last(
-            staged(spark, store, table).join(touched, "account_id", "left_semi"),
-            [table.key],
-            ["_ingestion_time"],
-        )
-    versioned = align(with_version(rows, time.time_ns() // 1_000_000), table.warehouse_schema)
+        rows = staged(spark, store, table).join(touched, "account_id", "left_semi")
+    unique = keep_last(rows, _collapse_key(table, modes.collapse), ["_ingestion_time"])
+    versioned = align(with_version(unique, time.time_ns() // 1_000_000), table.warehouse_schema)
     written = _counted(
         versioned,
         lambda df: append_months(
@@ -195,26 +196,35 @@ def load_table(
     return written
 
 
+def _collapse_key(table: SourceTable, collapse: str) -> tuple[str, ...]:
+    return table.sort_key if collapse == "sort_key" else (table.key,)
+
+
 def warehouse(
     spark: SparkSession,
     store: Store,
     name: str,
     collapse: str = "sort_key",
     first: date | None = None,
+    accounts: DataFrame | None = None,
 ) -> DataFrame:
-    """Current rows of a warehouse table, from the month of ``first`` on.
+    """Current rows of a warehouse table, from the month of ``first`` on, of some accounts.
 
-    Months are left out before versions are collapsed, which is exact where the event date
-    is part of the collapse key: all versions of a row then lie in the same month.  For
-    other keys every month is read.
+    Months and accounts are left out before versions are collapsed, which is exact where
+    the event date or the account is part of the collapse key: all versions of a row then
+    agree in it.  For other keys everything is read.
     """
     if name == "dim_plans":
         return dim_plans(spark)
     table = WAREHOUSE[name]
-    if collapse != "sort_key" or table.event_date not in table.sort_key:
-        first = None
-    rows = read_months(spark, store.warehouse(name), table.warehouse_schema, first)
-    return current_rows(rows, table, collapse)
+    key = _collapse_key(table, collapse)
+    rows = read_months(
+        spark, store.warehouse(name), table.warehouse_schema,
+        first if table.event_date in key else None,
+    )
+    if accounts is not None and "account_id" in key:
+        rows = rows.join(accounts, "account_id", "left_semi")
+    return latest_version(rows, key)
 
 
 def _first_day(month: int | None) -> date | None:
@@ -228,8 +238,8 @@ def refresh_marts(
 
     An absent or empty mart is built in full.
     """
-    def fact(name: str, first: date | None = None) -> DataFrame:
-        return warehouse(spark, store, name, modes.collapse, first)
+    def fact(name: str, first: date | None = None, accounts: DataFrame | None = None) -> DataFrame:
+        return warehouse(spark, store, name, modes.collapse, first, accounts)
 
     tables = {name: VersionedTable(spark, store.mart(name)) for name in fv.MART_KEYS}
     targets = {name: t.read() for name, t in tables.items()}
@@ -237,18 +247,20 @@ def refresh_marts(
         marts.high_water_month(targets[name])
         for name in ("mrr_monthly", "churn_summary", "feature_usage_summary")
     )
-    subs, churn, tickets = (
-        fact(n) for n in ("fact_subscriptions", "fact_churn_events", "fact_support_tickets")
-    )
-    old_scores, affected = targets["customer_health_score"], None
+    subs = fact("fact_subscriptions")
+    old_scores, affected, few = targets["customer_health_score"], None, None
     if old_scores is not None and not old_scores.isEmpty():
         after = as_of - timedelta(days=2)
-        affected = marts.affected_accounts(
-            fact("fact_subscriptions", after),
-            fact("fact_churn_events", after),
-            fact("fact_support_tickets", after),
-            after,
+        affected = cut(
+            marts.affected_accounts(
+                fact("fact_subscriptions", after),
+                fact("fact_churn_events", after),
+                fact("fact_support_tickets", after),
+                after,
+            )
         )
+        if affected.count() <= BROADCAST_ROWS:
+            few = F.broadcast(affected)
     fresh = {
         "mrr_monthly": marts.mrr_monthly(
             subs, fact("fact_churn_events", _first_day(mrr_from)), as_of,
@@ -264,9 +276,12 @@ def refresh_marts(
             fact("fact_feature_usage", _first_day(usage_from)), refresh_from=usage_from
         ),
         "customer_health_score": marts.health_score(
-            fact("dim_accounts"), subs,
+            fact("dim_accounts", accounts=few),
+            fact("fact_subscriptions", accounts=few),
             fact("fact_feature_usage", as_of - timedelta(days=fv.USAGE_WINDOW_DAYS)),
-            churn, tickets, as_of, unmatched=modes.unmatched, affected=affected,
+            fact("fact_churn_events"),
+            fact("fact_support_tickets", accounts=few),
+            as_of, unmatched=modes.unmatched, affected=affected,
         ),
     }
     versions = {}

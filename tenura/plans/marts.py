@@ -195,7 +195,7 @@ def churn_summary(
     if denominator == "starting":
         base = _from_month(subs, "start_date", refresh_from).withColumns(_year_month("start_date"))
     else:
-        base = active_months(subs, month_spine(as_of or fv.PIPELINE_END, "calendar"), "calendar")
+        base = active_months(subs, month_spine(as_of or fv.LAST_DAY, "calendar"), "calendar")
     accounts = base.groupBy("year", "month").agg(F.count_distinct("account_id").alias("accounts"))
     rate = percent_or_zero(F.col("churn_count"), F.col("accounts"))
     return events.join(accounts, ["year", "month"], "left").select(

@@ -49,6 +49,7 @@ class SourceTable:
         return self.staging_schema.add("_updated_at", T.LongType())
 
 
+# Keys, event dates, source systems, sort keys and checked columns per table.
 TABLES: dict[str, SourceTable] = {
     t.name: t
     for t in (

@@ -9,20 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Skewed joins are split even when the split costs one more shuffle: an account may
-# hold a large part of all rows.  The smallest partition size only matters for small
-# shuffles, which then use all cores; large ones go by the advisory size.
+# hold a large part of all rows.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
 }
+# On one machine, small shuffles should still use all cores.  On a cluster the default
+# keeps them to few tasks.
+LOCAL_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings the operators rely on; all can be set at run time."""
-    for name, value in SQL_SETTINGS.items():
+    local = spark.sparkContext.master.startswith("local")
+    for name, value in (SQL_SETTINGS | (LOCAL_SETTINGS if local else {})).items():
         spark.conf.set(name, value)
     return spark
 

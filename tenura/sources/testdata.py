@@ -62,6 +62,8 @@ def _folded(column: str) -> str:
 
 _START = _folded("o_orderdate")
 _END = f"timestamp({_START}) + make_dt_interval(int(30 + o_orderkey % 151), int(o_orderkey % 24))"
+# Customers whose number ends in 9 are the accounts without a subscription; without this
+# rule of the mapping every account would have one.
 _SUBSCRIBED = "o_custkey % 10 <> 9"
 
 

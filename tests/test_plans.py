@@ -43,3 +43,15 @@ def test_large_account_is_added_up_before_the_shuffle(spark, data_dir):
     plan = _plan(marts.mrr_monthly(subs, td.churn_events(spark, data_dir), date(2026, 6, 30)))
     below = plan[plan.index("Window"):]
     assert "partial_sum(mrr_amount" in below and "Expand" not in plan
+
+
+def test_collapsed_versions_read_only_needed_columns(spark, tmp_path):
+    from tenura.operators import versioned
+    from tenura.schemas import TABLES
+
+    table, path = TABLES["feature_usage"], str(tmp_path / "fact")
+    spark.createDataFrame([], table.warehouse_schema).write.parquet(path)
+    rows = versioned.current_rows(spark.read.parquet(path), table)
+    plan = _plan(rows.where("usage_date >= date'2025-01-01'").select("usage_count"))
+    assert "feature_name" not in plan and "_source_system" not in plan
+    assert "GreaterThanOrEqual(usage_date,2025-01-01)" in plan
