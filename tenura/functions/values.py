@@ -41,8 +41,14 @@ def percent_or_zero(part: Column, whole: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Drop blanks of every kind at both ends; a plain trim() would leave tabs."""
-    return F.trim(c, F.lit(fv.BLANKS))
+    """Drop blanks of every kind at both ends; a plain trim() would leave tabs.
+
+    Most cells start and end with a printable ASCII character and are done with that look;
+    only the others are searched for the rarer blanks.
+    """
+    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
+    clean = first.between("!", "~") & last.between("!", "~")
+    return F.when(clean, c).otherwise(F.trim(c, F.lit(fv.BLANKS)))
 
 
 def missing_to_null(c: Column) -> Column:
