@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.functions.dates import month_key
+from tenura.functions.dates import calendar_months, month_key
 from tenura.operators.versioned import path_exists
 
 PARTITIONS = ("year", "month", "day")
-DAY_FOLDERS = "year=[0-9][0-9][0-9][0-9]/month=[0-9][0-9]/day=[0-9][0-9]"
 
 
 def write_days(df: DataFrame, path: str, event_date: str) -> None:
@@ -45,17 +44,24 @@ def _days_between(after: date, upto: date) -> Column:
     return (day > F.lit(after)) & (day <= F.lit(upto))
 
 
+def _day_folders(path: str, after: date, upto: date) -> str:
+    """Pattern for the day folders of the months that the range touches."""
+    months = calendar_months(after + timedelta(days=1), upto)
+    names = ",".join(m.strftime("year=%Y/month=%m") for m in months)
+    return f"{path}/{{{names}}}/day=[0-9][0-9]"
+
+
 def read_days(
     spark: SparkSession, path: str, schema: T.StructType, after: date, upto: date
 ) -> DataFrame | None:
-    """Rows of the days in (after, upto]; None when nothing was ever written.
+    """Rows of the days in (after, upto]; None when no day was written in its months.
 
-    Only the partitions in the range are given to tasks, and folders that do not follow the
-    layout are left alone.  The schema is stated, so no file has to be opened to find it,
-    and a column that some days lack reads as NULL.
+    Only folders of those months are listed, only days in the range are given to tasks, and
+    folders that do not follow the layout are left alone.  The schema is stated, so no file
+    has to be opened to find it, and a column that some days lack reads as NULL.
     """
-    folders = f"{path}/{DAY_FOLDERS}"
-    if not path_exists(spark, folders):
+    folders = _day_folders(path, after, upto)
+    if upto <= after or not path_exists(spark, folders):
         return None
     dated = T.StructType(
         [f for f in schema.fields if f.name not in PARTITIONS]

@@ -32,6 +32,8 @@ def test_days_are_replaced_and_others_stay(spark, tmp_path):
     assert (tmp_path / "lake" / "year=2024" / "month=01" / "day=02").is_dir()
     after = lake.read_days(spark, path, USAGE.lake_schema, date(2024, 1, 1), date(2024, 1, 2))
     assert {r["usage_id"] for r in after.collect()} == {"U3"}
+    assert lake.read_days(spark, path, USAGE.lake_schema, date(2024, 2, 1), date(2024, 3, 2)) is None
+    assert lake.read_days(spark, path, USAGE.lake_schema, date(2024, 1, 2), date(2024, 1, 2)) is None
     assert lake.read_days(spark, str(tmp_path / "none"), USAGE.lake_schema, date(2024, 1, 1), date(2024, 1, 2)) is None
 
 
