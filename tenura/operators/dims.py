@@ -6,13 +6,17 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenura import fixed_values as fv
 from tenura.functions.dates import week_from_sunday, weekday_from_monday
+from tenura.operators.clean import align
 
 
 def dim_plans(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fv.PLAN_SEED), fv.PLAN_SEED_COLUMNS)
+    schema = T.StructType.fromDDL(fv.PLAN_SEED_COLUMNS)
+    rows = ", ".join(str(row) for row in fv.PLAN_SEED)
+    return align(spark.sql(f"SELECT * FROM VALUES {rows} AS seed({', '.join(schema.names)})"), schema)
 
 
 def dim_date(

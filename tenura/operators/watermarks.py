@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from tenura import fixed_values as fv
 from tenura.operators.versioned import path_exists
 
-ROW_SCHEMA = "day date, reset boolean, seq bigint"
-LOG_SCHEMA = f"{ROW_SCHEMA}, key string"
+LOG_SCHEMA = "day date, reset boolean, seq bigint, key string"
 BEFORE_START = fv.FIRST_DAY - timedelta(days=1)
 
 
@@ -51,13 +50,19 @@ class Watermarks:
     def _append(self, rows: Iterable[tuple[str, date | None, bool]]) -> None:
         seq = time.time_ns()
         for key, day, reset in rows:
-            self.spark.createDataFrame([(day, reset, seq)], ROW_SCHEMA).coalesce(1).write.mode(
-                "append"
-            ).parquet(f"{self.path}/key={key}")
+            row = self.spark.range(1).select(
+                F.lit(day).cast("date").alias("day"),
+                F.lit(reset).alias("reset"),
+                F.lit(seq).cast("bigint").alias("seq"),
+            )
+            row.coalesce(1).write.mode("append").parquet(f"{self.path}/key={key}")
 
     def get(self, key: str) -> date:
         """Last processed day; the day before the start when there is none."""
-        row = current_watermarks(self._read(f"{self.path}/key={key}")).first()
+        folder = f"{self.path}/key={key}"
+        if not path_exists(self.spark, folder):
+            return BEFORE_START
+        row = current_watermarks(self._read(folder)).first()
         return row["watermark"] if row else BEFORE_START
 
     def all(self) -> dict[str, date]:
