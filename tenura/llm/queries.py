@@ -13,7 +13,9 @@ from tenura.llm.common import table
 from tenura.llm.exact_dedup import exact_groups
 from tenura.llm.mixing import shares
 from tenura.llm.packing import packed_pieces
+from tenura.llm.simhash import near_components
 from tenura.llm.urls import judge_urls
+from tenura.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +32,14 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"))
+
+
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -40,6 +50,8 @@ LLM_QUERIES: dict[str, Query] = {
         op1_mix_sources,
         op3_exact_dedup,
         op5_pack_sequences,
+        op6_simhash_components,
+        op9_warc_round_trip,
         op10_url_filter,
     )
 }
@@ -54,6 +66,18 @@ WITH texts AS (
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        row_number() OVER best = 1 AS kept, text_sha256
 FROM texts WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+""",
+    "op9_warc_round_trip": r"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM firsts
 """,
     "op10_url_filter": r"""
 WITH parts AS (
