@@ -101,52 +101,45 @@ def local_search(lengths: np.ndarray, bins: list[list[int]], room: int) -> list[
     bin that no step changes is left alone, and the search ends when as few bins remain as
     the tokens need or none can be changed.
     """
-    bins = [list(b) for b in bins]
-    needed = -(-int(lengths.sum()) // room)
-    fill = [int(lengths[b].sum()) for b in bins]
-    alive = [i for i in range(len(bins)) if fill[i]]
-    stuck: set[int] = set()
-    while len(alive) > needed:
-        low = min((i for i in alive if i not in stuck), key=lambda i: (fill[i], i), default=None)
-        if low is None:
-            break
-        others = [i for i in alive if i != low and fill[i] < room and fill[i] >= fill[low]]
-        place = np.array([b for b in others for _ in bins[b]], dtype=np.int64)
-        item = np.array([x for b in others for x in bins[b]], dtype=np.int64)
-        free = np.array([room - fill[b] for b in others], dtype=np.int64)
-        changed = False
-        if len(others):
-            own = sorted(bins[low], key=lambda x: -lengths[x])
-            moves = [((x,), lengths[x]) for x in own]
-            moves += [((x, y), lengths[x] + lengths[y]) for k, x in enumerate(own) for y in own[k + 1 :]]
-            room_of = dict(zip(others, free.tolist(), strict=True))
-            item_free = np.array([room_of[b] for b in place], dtype=np.int64)
-            for out, size in moves:
-                fits = np.flatnonzero(free >= size)
-                if len(fits):  # a move; both pieces of a pair may go together
-                    target, back = others[fits[np.argmin(free[fits])]], None
-                else:
-                    gain = size - lengths[item]
-                    fits = np.flatnonzero((gain > 0) & (gain <= item_free))
-                    if not len(fits):
-                        continue
-                    best = fits[np.argmax(gain[fits])]
-                    target, back = int(place[best]), int(item[best])
-                for x in out:
-                    bins[low].remove(x)
-                    bins[target].append(x)
-                if back is not None:
-                    bins[target].remove(back)
-                    bins[low].append(back)
-                fill[low], fill[target] = int(lengths[bins[low]].sum()), int(lengths[bins[target]].sum())
-                changed = True
+    bin_of, fill = np.zeros(len(lengths), np.int64), np.zeros(len(bins), np.int64)
+    for b, items in enumerate(bins):
+        bin_of[items], fill[b] = b, lengths[items].sum()
+    needed = max(-(-int(lengths.sum()) // room), int((2 * lengths > room).sum()))
+    alive = int((fill > 0).sum())
+    stuck = np.zeros(len(bins), bool)
+    while alive > needed and not stuck[fill > 0].all():
+        low = int(np.argmin(np.where(stuck | (fill == 0), room + 1, fill)))
+        own = np.flatnonzero(bin_of == low)
+        x, y = np.triu_indices(len(own), 1)
+        free = np.where((fill < room) & (fill >= fill[low]) & (np.arange(len(fill)) != low), room - fill, -1)
+        step = None
+        for out in (own[:, None], np.stack([own[x], own[y]], axis=1)):  # one piece, then two
+            size = lengths[out].sum(axis=1)
+            spare = free[None, :] - size[:, None]
+            best = int(np.argmin(np.where(spare < 0, room + 1, spare))) if spare.size else 0
+            if spare.size and spare.flat[best] >= 0:  # a move, to where the least room is left
+                step = out[best // len(free)], best % len(free), None
                 break
-        if changed:
-            stuck.clear()
-            alive = [i for i in alive if fill[i]]
-        else:
-            stuck.add(low)
-    return [bins[i] for i in alive]
+            gain = size[:, None] - lengths[None, :]
+            gain = np.where((gain > 0) & (gain <= free[bin_of][None, :]), gain, 0)
+            best = int(np.argmax(gain)) if gain.size else 0
+            if gain.size and gain.flat[best]:  # an exchange, by as many tokens as fit
+                back = best % len(lengths)
+                step = out[best // len(lengths)], int(bin_of[back]), back
+                break
+        if step is None:
+            stuck[low] = True
+            continue
+        gone, target, back = step
+        moved = int(lengths[gone].sum()) - (0 if back is None else int(lengths[back]))
+        bin_of[gone] = target
+        if back is not None:
+            bin_of[back] = low
+        fill[low], fill[target] = fill[low] - moved, fill[target] + moved
+        stuck[:] = False
+        alive -= int(fill[low] == 0)
+    order = np.argsort(bin_of, kind="stable")
+    return [part.tolist() for part in np.split(order, np.flatnonzero(np.diff(bin_of[order])) + 1) if len(part)]
 
 
 def pack_block(group: pd.DataFrame, room: int, closed: float) -> pd.DataFrame:
@@ -173,6 +166,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, block_rows: int = BLOCK_ROWS,
     )
     rest = pieces.where(F.col("length") < length).select("row", "length")
     out, level, before = full, 0, None
+    slots = 4 * pieces.sparkSession.sparkContext.defaultParallelism
     while True:
         n = rest.count()
         last = n <= block_rows or (before is not None and n > 0.8 * before)
@@ -182,6 +176,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, block_rows: int = BLOCK_ROWS,
         )
         schema = "row long, length long, pick long, block long, number long, offset long, done boolean"
         limit = 0.0 if last else closed
+        dealt = dealt.repartition(min(blocks, max(slots, blocks // 16)), "block")  # the search is work, not bytes
         packed = cut(dealt.groupBy("block").applyInPandas(_packer(length, limit), schema))
         number = (F.lit(level) * (1 << 56) + F.col("block") * (1 << 20) + F.col("number")) * 2 + 1
         out = out.unionByName(packed.where("done").select("row", number.alias("sequence_id"), "offset"))

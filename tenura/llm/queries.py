@@ -8,12 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenura.llm.common import table
 from tenura.llm.exact_dedup import exact_groups
+from tenura.llm.langid import identified
 from tenura.llm.mixing import shares
 from tenura.llm.packing import packed_pieces
 from tenura.llm.simhash import near_components
+from tenura.llm.toxicity import scored
 from tenura.llm.urls import judge_urls
 from tenura.llm.warc import round_trip
 
@@ -24,6 +27,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -36,6 +43,13 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
+def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans come along as one string, such as ``en:0+12 fr:12+7`` (first word + words)."""
+    found = identified(table(spark, sf_dir, "documents"))
+    spans = F.expr("array_join(transform(spans, s -> concat(s.lang, ':', s.start, '+', s.words)), ' ')")
+    return found.select("doc_id", "held_out", F.col("lang").alias("lang_pred"), "score", spans.alias("spans"))
+
+
 def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
@@ -48,9 +62,11 @@ LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mix_sources,
+        op2_toxicity,
         op3_exact_dedup,
         op5_pack_sequences,
         op6_simhash_components,
+        op8_language_spans,
         op9_warc_round_trip,
         op10_url_filter,
     )
