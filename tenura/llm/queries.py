@@ -10,11 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tenura.llm.common import table
 from tenura.llm.exact_dedup import exact_groups
 from tenura.llm.langid import identified
+from tenura.llm.lm import cross_entropy_difference
 from tenura.llm.mixing import shares
 from tenura.llm.packing import packed_pieces
+from tenura.llm.quality import quality
 from tenura.llm.simhash import near_components
 from tenura.llm.toxicity import scored
 from tenura.llm.urls import judge_urls
@@ -35,6 +38,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
@@ -43,6 +50,10 @@ def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
+def op7_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spans come along as one string, such as ``en:0+12 fr:12+7`` (first word + words)."""
     found = identified(table(spark, sf_dir, "documents"))
@@ -64,13 +75,15 @@ LLM_QUERIES: dict[str, Query] = {
         op1_mix_sources,
         op2_toxicity,
         op3_exact_dedup,
+        op4_quality_rules,
         op5_pack_sequences,
         op6_simhash_components,
+        op7_cross_entropy,
         op8_language_spans,
         op9_warc_round_trip,
         op10_url_filter,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 
 LLM_ORACLES: dict[str, str] = {
     "op3_exact_dedup": r"""
