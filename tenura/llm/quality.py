@@ -7,10 +7,11 @@ them in repeated windows.
 Fertility: the words are encoded one by one with a public vocabulary that falls back to bytes.
 Characters per token, the share of byte tokens and the entropy of a document's tokens (as a share of
 the highest that its number of tokens allows) are each held against a band for its
-group, the language if one is stated, else the script of most of its letters.  Bands come from all
-documents that pass the base rules: the quartiles of the group, stretched by ``reach`` times their
-distance and by at least a stated slack.  Values of documents with fewer tokens than ``sure`` vary more, so their band is
-wider by the square root of the ratio.  A document outside any band is not kept.
+group: the language if one is stated, else the script of most of its letters, and the power of two
+of its number of tokens, since short texts vary more.  Bands come from all documents that
+pass the base rules, equal measures counting once so that copies have no weight: the
+quartiles of the group, stretched by ``reach`` times their distance and by at least a stated
+slack.  A document outside any band is not kept.
 
 Defined results: a null, empty or blank text has no words and fails the base rules; repeated rows get
 equal results; groups whose language is null go by script; an empty table gives an empty result.
@@ -36,13 +37,12 @@ from tenura.session import cut
 MIN_WORDS = 10
 MAX_REPEATED = 20  # per cent of the words
 WINDOW = 5
-REACH = 6.0
-SURE = 400
+REACH = 3.0
 KEPT_WORDS = 300_000
 
 # The characters that count as symbols, and the least slack of each band.
 SYMBOLS = b"#*$%&|<>"
-SLACK = {"chars_per_token": 0.5, "byte_share": 0.02, "entropy": 0.1}
+SLACK = {"chars_per_token": 0.1, "byte_share": 0.01, "entropy": 0.03}
 
 
 class Pieces(dict):
@@ -187,25 +187,24 @@ def measured(docs: DataFrame, path: str | None = None) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, lang string, {MEASURES}")
 
 
-def judged(measures: DataFrame, reach: float = REACH, sure: int = SURE) -> DataFrame:
+def judged(measures: DataFrame, reach: float = REACH) -> DataFrame:
     """``measures`` (a written table) with base_failed and kept."""
-    rows = measures.withColumn("group", F.coalesce("lang", "script")).withColumn(
+    size = F.floor(F.log2(F.greatest("tokens", F.lit(1)))).cast("string")
+    rows = measures.withColumn("group", F.concat_ws(" ", F.coalesce("lang", "script"), size)).withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
     )
+    once = rows.where("not base_failed").select("group", "n_words", "tokens", *SLACK).distinct()
     quartiles = [F.percentile_approx(c, [0.25, 0.75], 10_000).alias(f"{c}_q") for c in SLACK]
-    bands = rows.where("not base_failed").groupBy("group").agg(*quartiles)
+    bands = once.groupBy("group").agg(*quartiles)
     for c, slack in SLACK.items():
         q = F.col(f"{c}_q")
         span = F.greatest((q[1] - q[0]) * reach, F.lit(slack))
         bands = bands.withColumn(f"{c}_low", q[0] - span).withColumn(f"{c}_high", q[1] + span).drop(f"{c}_q")
     met = salted(rows, bands, "group", F.col("doc_id"))
-    wider = F.sqrt(F.greatest(F.lit(1.0), F.lit(float(sure)) / F.greatest("tokens", F.lit(1))))
     inside = F.lit(True)
     for c in SLACK:
-        low, high = F.col(f"{c}_low"), F.col(f"{c}_high")
-        middle, half = (low + high) / 2, (high - low) / 2 * wider
-        inside = inside & (F.abs(F.col(c) - middle) <= half)
+        inside = inside & F.col(c).between(F.col(f"{c}_low"), F.col(f"{c}_high"))
     return met.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.coalesce(inside, F.lit(True)))).drop(
         *[f"{c}_{side}" for c in SLACK for side in ("low", "high")]
     )
