@@ -6,9 +6,12 @@ import os
 import tempfile
 import zipfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.session import cut
+
 # White space between words, as every contract of these operators states it.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,3 +58,23 @@ def salted(rows: DataFrame, small: DataFrame, key: str, spread: Column, how: str
     left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return left.join(right, [key, "__salt"], how).drop("__salt")
+
+
+# Name of the column that addresses a row.
+ROW = "__tenura_row"
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """``docs`` with an address of each row that every later scan repeats: hash of the file, row in it.
+
+    So decisions can be made on narrow columns and joined to the documents afterwards, without
+    writing texts again.  A frame that is not read from Parquet files is written first.
+    """
+    def with_row(df: DataFrame) -> DataFrame:
+        row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        return df.select("*", row.alias(ROW))
+
+    try:
+        return with_row(docs)
+    except AnalysisException:
+        return with_row(cut(docs))

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import SPACES, salted
+from tenura.llm.common import ROW, SPACES, addressed, salted
 from tenura.session import cut
 
 MAX_BITS = 1 << 27
@@ -37,14 +37,14 @@ def stripped(text: Column) -> Column:
     return reduce(lambda c, s: F.replace(c, F.lit(s), F.lit("")), SPACES, F.coalesce(text, F.lit("")))
 
 
-def with_hash(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """doc (struct of the carried columns), id, n (code points), sha and a row number."""
-    return docs.select(
+def with_hash(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """doc (struct of the carried columns), id, n (code points), sha and row of addressed documents."""
+    return rows.select(
         F.struct(*[F.col(c) for c in carried]).alias("doc"),
         F.col("doc_id").alias("id"),
         F.length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n"),
         F.sha2(stripped(F.col("text")).cast("binary"), 256).alias("sha"),
-        F.monotonically_increasing_id().alias("row"),
+        F.col(ROW).alias("row"),
     )
 
 
@@ -86,39 +86,49 @@ def probed(hashed: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
     return out.withColumn("maybe", F.col("hit1") & F.col("hit2")).select(*hashed.columns, "maybe")
 
 
-def judged(hashed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``hashed`` (a written table) with keep_id, group_size and kept; every row once."""
-    bits = filter_bits(hashed.count(), max_bits)
-    rows = probed(hashed, repeated_cells(hashed.select("sha"), bits), bits)
-    once = rows.where("not maybe").drop("maybe").select(
-        "*", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
+def judged_groups(again: DataFrame) -> DataFrame:
+    """Rows that may be repeated, with keep_id, group_size and kept."""
+    order = F.struct(
+        (-F.col("n")).alias("n"), F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row")
     )
-    again = rows.where("maybe").drop("maybe")
-    first = F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
     groups = (
         again.groupBy("sha")
-        .agg(F.count("*").alias("size"), F.min(first).alias("first"))
+        .agg(F.count("*").alias("size"), F.min(order).alias("first"))
         .where("size > 1")
         .select("sha", "size", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"))
     )
-    met = salted(again, groups, "sha", F.col("row")).select(
-        *[F.col(c) for c in hashed.columns],
+    return salted(again, groups, "sha", F.col("row")).select(
+        *[F.col(c) for c in again.columns],
         F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("first_id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("size").isNull() | (F.col("row") == F.col("first_row"))).alias("kept"),
     )
-    return once.unionByName(met)
 
 
 def exact_groups(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document, dropped ones too: doc_id, keep_id, group_size, kept, text_sha256."""
-    hashed = cut(with_hash(docs, ["doc_id"]).drop("doc"))
-    return judged(hashed, max_bits).select(
+    hashed = cut(with_hash(addressed(docs), ["doc_id"]).drop("doc"))
+    bits = filter_bits(hashed.count(), max_bits)
+    rows = probed(hashed, repeated_cells(hashed.select("sha"), bits), bits)
+    once = rows.where("not maybe").drop("maybe").select(
+        "*", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
+    )
+    return once.unionByName(judged_groups(rows.where("maybe").drop("maybe"))).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
     )
 
 
 def exact_dedup(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    hashed = cut(with_hash(docs, docs.columns))
-    return judged(hashed, max_bits).where("kept").select("doc.*")
+    """The documents that stay, with all their columns.
+
+    The texts are hashed on a first scan, of which narrow columns are written, and again on the
+    scan that returns the documents: those that the filter clears never leave their task.
+    """
+    whole = with_hash(addressed(docs), docs.columns)
+    hashed = cut(whole.drop("doc"))
+    bits = filter_bits(hashed.count(), max_bits)
+    bitmaps = cut(repeated_cells(hashed.select("sha"), bits))
+    stay = cut(judged_groups(probed(hashed, bitmaps, bits).where("maybe").drop("maybe")).where("kept").select("row"))
+    rows = probed(whole, bitmaps, bits)
+    again = rows.where("maybe").join(stay, "row", "left_semi")
+    return rows.where("not maybe").select("doc.*").unionByName(again.select("doc.*"))

@@ -11,7 +11,8 @@ sequence of languages over the words with the highest sum of scores less a penal
 switch; words without letters take part without a score.  Runs of one language are the spans;
 the language with the most letters is the document's.  One language throughout is
 known to be the best path, without a search, when no stretch of words gains as much in another
-language as one switch costs; otherwise the search runs.
+language as one switch costs, nor a stretch at the start and one at the end together; otherwise
+the search runs.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and has no span; ties
 go to the language that comes first by code point; repeated rows get equal results; without
@@ -141,7 +142,8 @@ def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     top = int(sums.argmax())
     gains = np.cumsum(scores - scores[:, top : top + 1], axis=0)
     floor = np.minimum.accumulate(np.vstack([np.zeros(len(sums)), gains[:-1]]), axis=0)
-    if (gains - floor).max() < penalty:
+    ends = max(gains.max(), 0.0) + (gains[-1] - np.minimum(gains.min(axis=0), 0.0)).max()  # if top is nowhere
+    if (gains - floor).max() < penalty and ends < penalty:
         return np.full(len(scores), top)
     return viterbi(scores, penalty)
 

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import SALTS, WORD, ready
+from tenura.llm.common import ROW, SALTS, WORD, addressed, ready
 from tenura.session import cut
 
 NODE_ROWS = 512
@@ -189,11 +189,15 @@ def copies(
 def mixed(docs: DataFrame, **how: object) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken.
 
-    A blank document has no words to give or take and stays as it is, once.
+    Copies are settled on narrow columns and joined to the documents by their addresses.  A
+    blank document has no words to give or take and stays as it is, once.
     """
-    out = copies(docs, carried=docs.columns, **how)
-    times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int")
-    return out.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), times))).select("doc.*")
+    rows = addressed(docs)
+    out = copies(rows, carried=[ROW], **how)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int").alias("times")
+    taken = out.select(F.col(f"doc.{ROW}").alias("row"), times).where("times > 0")
+    whole = rows.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(ROW).alias("row"))
+    return whole.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")
 
 
 def shares(docs: DataFrame, **how: object) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import ready, salted
+from tenura.llm.common import ROW, addressed, ready, salted
 from tenura.session import cut
 
 WIDTH = 3
@@ -284,38 +284,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def labelled(rows: DataFrame, most: int = MOST, node_rows: int = NODE_ROWS) -> DataFrame:
-    """``rows`` (a written table with id, fp and others) with ``component``, the smallest id reachable."""
+    """``rows`` (a written table with id, fp, row) with ``component``, the smallest id reachable, and ``root``.
+
+    The root names the group by one of its fingerprints; it is null for a row that is alone.
+    """
     reps = cut(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")))
     linked = cut(components(links(reps, most, node_rows))).withColumnRenamed("node", "fp")
     named = linked.join(reps, "fp")
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    joined = salted(named, smallest, "root", F.col("fp"), "inner").select("fp", "component")
+    joined = salted(named, smallest, "root", F.col("fp"), "inner").select("fp", "root", "component")
     groups = (
         reps.join(joined, "fp", "left")
-        .where("n > 1 or component is not null")
-        .select("fp", F.coalesce("component", "first").alias("component"))
-    )
-    return salted(rows, groups, "fp", F.coalesce(F.col("row"), F.lit(0))).withColumn(
-        "grouped", F.col("component").isNotNull()
-    ).withColumn("component", F.coalesce("component", "id"))
-
-
-def with_fingerprints(docs: DataFrame, carried: list[str], width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    ready(docs.sparkSession)
-    return cut(
-        docs.select(
-            F.struct(*[F.col(c) for c in carried]).alias("doc"),
-            F.col("doc_id").alias("id"),
-            fingerprints(F.col("text"), width, seed).alias("fp"),
-            F.monotonically_increasing_id().alias("row"),
-        )
+        .where("n > 1 or root is not null")
+        .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "first").alias("component"))
     )
+    return salted(rows, groups, "fp", F.col("row")).withColumn("component", F.coalesce("component", "id"))
+
+
+def with_fingerprints(rows: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+    """id, fp and row of addressed documents, written once."""
+    ready(rows.sparkSession)
+    return cut(rows.select(F.col("doc_id").alias("id"), fingerprints(F.col("text"), width, seed).alias("fp"), F.col(ROW).alias("row")))
 
 
 def near_components(docs: DataFrame, width: int = WIDTH, seed: int = SEED, most: int = MOST) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every document."""
-    rows = with_fingerprints(docs, ["doc_id"], width, seed)
-    return labelled(rows.drop("doc"), most).select(
+    return labelled(with_fingerprints(addressed(docs), width, seed), most).select(
         F.col("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
@@ -325,12 +319,14 @@ def near_components(docs: DataFrame, width: int = WIDTH, seed: int = SEED, most:
 def near_dedup(docs: DataFrame, width: int = WIDTH, seed: int = SEED, most: int = MOST) -> DataFrame:
     """One document of each component, that of the smallest id, with all its columns.
 
-    Which rows go is found on the narrow columns; the documents are then read once and
-    shuffled only by their row number, which no two share.
+    Which rows go is found on narrow columns; the documents are then scanned again and
+    those rows left out by their addresses, which no two share.
     """
-    rows = with_fingerprints(docs, docs.columns, width, seed)
-    groups = labelled(rows.drop("doc"), most).where("grouped").select("id", "row", "component")
+    rows = addressed(docs)
+    groups = labelled(with_fingerprints(rows, width, seed), most).where("root is not null").select("id", "row", "root")
+    groups = cut(groups)
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
-    stay = groups.groupBy(F.col("component").isNull(), "component").agg(F.min(rank).alias("best"))
-    gone = cut(groups.select("row").join(stay.select(F.col("best.row").alias("row")), "row", "left_anti"))
-    return rows.join(gone, "row", "left_anti").select("doc.*")
+    stay = groups.groupBy("root").agg(F.min(rank).alias("best")).select(F.col("best.row").alias("row"))
+    gone = cut(groups.select("row").join(stay, "row", "left_anti"))
+    whole = rows.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(ROW).alias("row"))
+    return whole.join(gone, "row", "left_anti").select("doc.*")
