@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def number_of(key: str) -> Column:
-    """The number inside an id such as A000000123."""
-    return F.substring(key, 2, 9).cast("int")
+    """The number inside an id such as A000000123, all its digits."""
+    return F.regexp_extract(key, "^.([0-9]+)", 1).cast("bigint")
 
 
 def _every(n: Column, step: int, text: str, otherwise: Column) -> Column:

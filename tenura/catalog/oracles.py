@@ -35,7 +35,8 @@ def _sql(body: str) -> str:
 
 
 def _id(prefix: str, key: str) -> str:
-    return f"'{prefix}' || lpad(CAST({key} AS VARCHAR), 9, '0')"
+    number = f"CAST({key} AS VARCHAR)"
+    return f"'{prefix}' || lpad({number}, CAST(greatest(9, length({number})) AS INTEGER), '0')"
 
 
 def _folded(column: str) -> str:
@@ -65,7 +66,7 @@ SELECT {_id('S', 'o_orderkey')} AS subscription_id, {_id('A', 'o_custkey')} AS a
   CAST((1 + o_orderkey % 50) * (CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 10 WHEN 2 THEN 25 ELSE 60 END) AS DOUBLE) AS mrr_amount,
   CASE WHEN o_orderkey % 2 = 0 THEN 'monthly' ELSE 'annual' END AS billing_frequency,
   o_orderkey AS n
-FROM orders WHERE o_custkey % 10 <> 9"""
+FROM orders"""
 
 PARTS["src_churn_events"] = f"""
 SELECT {_id('C', 'o_orderkey')} AS churn_event_id, {_id('A', 'o_custkey')} AS account_id,
@@ -75,28 +76,31 @@ SELECT {_id('C', 'o_orderkey')} AS churn_event_id, {_id('A', 'o_custkey')} AS ac
     WHEN '5-LOW' THEN 'no_longer_needed' END AS reason_code,
   CAST(CASE WHEN o_orderkey % 151 < 30 THEN o_orderkey % 97 ELSE 0 END AS DOUBLE) AS refund_amount_usd,
   o_orderkey % 10 < 3 AS is_reactivation, o_orderkey AS n
-FROM orders WHERE o_custkey % 10 <> 9 AND o_orderstatus = 'F'"""
+FROM orders WHERE o_orderstatus = 'F'"""
+
+PARTS["src_parties"] = f"""
+SELECT {_id('A', 'c_custkey')} AS account_id, c_custkey AS n, c_name AS account_name,
+  c_mktsegment AS industry, c_nationkey AS nation FROM customer
+UNION ALL
+SELECT {_id('V', 's_suppkey')}, s_suppkey, s_name, 'SUPPLIER', s_nationkey FROM supplier"""
 
 PARTS["src_accounts"] = f"""
-SELECT {_id('A', 'c_custkey')} AS account_id, c_name AS account_name, c_mktsegment AS industry,
-  n_name AS country,
-  CAST(DATE '2024-01-01' + CAST(c_custkey % 1096 AS INTEGER) AS DATE) AS signup_date,
-  CASE c_custkey % 6 WHEN 0 THEN 'organic' WHEN 1 THEN 'ads' WHEN 2 THEN 'partner'
+SELECT account_id, account_name, industry, n_name AS country,
+  CAST(DATE '2024-01-01' + CAST(n % 1096 AS INTEGER) AS DATE) AS signup_date,
+  CASE n % 6 WHEN 0 THEN 'organic' WHEN 1 THEN 'ads' WHEN 2 THEN 'partner'
     WHEN 3 THEN 'outbound' WHEN 4 THEN 'event' ELSE 'other' END AS referral_source,
-  {_tier('c_custkey')} AS plan_tier, CAST(1 + c_custkey % 50 AS INTEGER) AS seats,
-  c_custkey % 5 < 2 AS is_trial,
-  {_id('A', 'c_custkey')} IN (SELECT account_id FROM src_churn_events) AS churn_flag,
-  c_custkey AS n
-FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+  {_tier('n')} AS plan_tier, CAST(1 + n % 50 AS INTEGER) AS seats, n % 5 < 2 AS is_trial,
+  account_id IN (SELECT account_id FROM src_churn_events) AS churn_flag, n
+FROM src_parties JOIN nation ON nation = n_nationkey"""
 
 PARTS["src_feature_usage"] = f"""
 SELECT {_id('U', 'l_orderkey')} || '-' || CAST(l_linenumber AS VARCHAR) AS usage_id,
   {_id('S', 'l_orderkey')} AS subscription_id, {_folded('l_shipdate')} AS usage_date,
   CASE l_partkey % 5 WHEN 0 THEN 'dashboard' WHEN 1 THEN 'api' WHEN 2 THEN 'export'
     WHEN 3 THEN 'automation' ELSE 'integration' END AS feature_name,
-  CAST(l_quantity AS INTEGER) AS usage_count,
-  CAST(l_quantity * (10 + l_suppkey % 51) AS INTEGER) AS usage_duration_secs,
-  CAST(l_linenumber % 4 AS INTEGER) AS error_count, l_partkey % 10 = 0 AS is_beta_feature,
+  CAST(l_quantity AS BIGINT) AS usage_count,
+  CAST(l_quantity * (10 + l_suppkey % 51) AS BIGINT) AS usage_duration_secs,
+  CAST(l_linenumber % 4 AS BIGINT) AS error_count, l_partkey % 10 = 0 AS is_beta_feature,
   l_orderkey AS n
 FROM lineitem"""
 
@@ -125,7 +129,7 @@ def _days(later: str, earlier: str) -> str:
 def _lifecycle(partition: str, churned: str) -> str:
     return f"""
 SELECT subscription_id, account_id, start_date, CAST(end_ts AS DATE) AS end_date, plan_tier, seats,
-  billing_frequency, CAST(seq AS INTEGER) AS subscription_sequence,
+  billing_frequency, CAST(seq AS BIGINT) AS subscription_sequence,
   CAST(greatest({_days('end_ts', 'start_date')}, 0) AS INTEGER) AS days_active,
   {churned} AS churn_flag,
   coalesce({_days('start_date', 'prev_end')} > 60, FALSE) AS reactivation_flag,
@@ -150,6 +154,7 @@ PARTS["facts_batch"] = _lifecycle(_BATCH, _REFERENCE_TAIL)
 _LIFECYCLE_COLUMNS = """subscription_id, account_id, start_date, end_date, subscription_sequence,
   days_active, churn_flag, reactivation_flag, mrr_amount, arr_amount"""
 ORACLES["subscription_lifecycle"] = _sql(f"SELECT {_LIFECYCLE_COLUMNS} FROM facts")
+ORACLES["subscription_lifecycle_split"] = ORACLES["subscription_lifecycle"]
 ORACLES["subscription_lifecycle_asof"] = _sql(f"SELECT {_LIFECYCLE_COLUMNS} FROM facts_asof")
 ORACLES["subscription_lifecycle_batch_scope"] = _sql(
     f"SELECT {_LIFECYCLE_COLUMNS}, CAST(year(start_date) * 100 + month(start_date) AS INTEGER) "
@@ -368,6 +373,7 @@ WINDOW w AS (PARTITION BY account_id ORDER BY start_date, subscription_id)"""
 ORACLES["plan_moves"] = _sql(
     "SELECT subscription_id, account_id, plan_tier, upgrade_flag, downgrade_flag FROM move_flags"
 )
+ORACLES["plan_moves_split"] = ORACLES["plan_moves"]
 ORACLES["trial_flags"] = _sql("SELECT subscription_id, account_id, plan_tier, is_trial FROM move_flags")
 ORACLES["reactivations"] = _sql("""
 SELECT subscription_id, account_id, churned AS churn_flag, churned AND has_next AS is_reactivation
@@ -407,9 +413,9 @@ SELECT churn_event_id, account_id, CASE WHEN n % 13 <> 0 THEN churn_date END AS
 FROM src_churn_events""")
 ORACLES["usage_clean"] = _sql("""
 SELECT usage_id, subscription_id, CASE WHEN n % 13 <> 0 THEN usage_date END AS usage_date, feature_name,
-  CAST(CASE WHEN n % 6 = 0 THEN 0 ELSE usage_count END AS INTEGER) AS usage_count,
-  CAST(CASE WHEN n % 10 = 0 THEN 0 ELSE usage_duration_secs END AS INTEGER) AS usage_duration_secs,
-  CAST(CASE WHEN n % 15 = 0 THEN 0 ELSE error_count END AS INTEGER) AS error_count,
+  CAST(CASE WHEN n % 6 = 0 THEN 0 ELSE usage_count END AS BIGINT) AS usage_count,
+  CAST(CASE WHEN n % 10 = 0 THEN 0 ELSE usage_duration_secs END AS BIGINT) AS usage_duration_secs,
+  CAST(CASE WHEN n % 15 = 0 THEN 0 ELSE error_count END AS BIGINT) AS error_count,
   CASE WHEN n % 9 = 0 THEN FALSE ELSE is_beta_feature END AS is_beta_feature
 FROM src_feature_usage""")
 ORACLES["tickets_clean"] = _sql("""
@@ -702,7 +708,7 @@ _TYPES = {
     "churn_events": "churn_event_id:string account_id:string churn_date:date reason_code:string "
     "refund_amount_usd:double is_reactivation:boolean",
     "feature_usage": "usage_id:string subscription_id:string usage_date:date feature_name:string "
-    "usage_count:int usage_duration_secs:int error_count:int is_beta_feature:boolean",
+    "usage_count:bigint usage_duration_secs:bigint error_count:bigint is_beta_feature:boolean",
     "support_tickets": "ticket_id:string account_id:string submitted_at:timestamp closed_at:timestamp "
     "resolution_time_hours:double priority:string first_response_time_minutes:int "
     "satisfaction_score:double escalation_flag:boolean",

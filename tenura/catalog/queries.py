@@ -147,6 +147,12 @@ def subscription_lifecycle(spark, d):
     return _lifecycle(facts(spark, d))
 
 
+@query
+def subscription_lifecycle_split(spark, d):
+    """As subscription_lifecycle, with accounts above 16 rows cut into slices."""
+    return _lifecycle(facts(spark, d, hot_rows=16))
+
+
 @query
 def subscription_lifecycle_asof(spark, d):
     return _lifecycle(facts(spark, d, tail="as_of", as_of=AS_OF))
@@ -174,6 +180,13 @@ def plan_moves(spark, d):
     return rows.select("subscription_id", "account_id", "plan_tier", "upgrade_flag", "downgrade_flag")
 
 
+@query
+def plan_moves_split(spark, d):
+    """As plan_moves, with accounts above 16 rows cut into slices."""
+    rows = derive.with_plan_moves(td.subscriptions(spark, d), hot_rows=16)
+    return rows.select("subscription_id", "account_id", "plan_tier", "upgrade_flag", "downgrade_flag")
+
+
 @query
 def trial_flags(spark, d):
     rows = derive.with_trial_flag(td.subscriptions(spark, d))

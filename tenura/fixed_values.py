@@ -96,8 +96,8 @@ RAW_COLUMNS = {
     ),
     "feature_usage": (
         "usage_id string, subscription_id string, usage_date timestamp, "
-        "feature_name string, usage_count int, usage_duration_secs int, "
-        "error_count int, is_beta_feature boolean"
+        "feature_name string, usage_count bigint, usage_duration_secs bigint, "
+        "error_count bigint, is_beta_feature boolean"
     ),
     "support_tickets": (
         "ticket_id string, account_id string, submitted_at timestamp, "
@@ -119,7 +119,7 @@ STAGING_COLUMNS = {
         "plan_tier string, seats int, price double, discount_value double, "
         "mrr_amount double, arr_amount double, is_trial boolean, upgrade_flag boolean, "
         "downgrade_flag boolean, churn_flag boolean, reactivation_flag boolean, "
-        "billing_frequency string, auto_renew_flag boolean, subscription_sequence int, "
+        "billing_frequency string, auto_renew_flag boolean, subscription_sequence bigint, "
         "days_active int"
     ),
     "churn_events": (
@@ -129,7 +129,7 @@ STAGING_COLUMNS = {
     ),
     "feature_usage": (
         "usage_id string, subscription_id string, usage_date date, feature_name string, "
-        "usage_count int, usage_duration_secs int, error_count int, "
+        "usage_count bigint, usage_duration_secs bigint, error_count bigint, "
         "is_beta_feature boolean"
     ),
     "support_tickets": (

@@ -43,6 +43,8 @@ def _coerced(c: Column, source: T.DataType, target: T.DataType) -> Column:
         if isinstance(target, T.IntegerType):
             # "12.0" is how a whole number is written once its column holds gaps
             return c.try_cast("double").try_cast("int")
+        if isinstance(target, T.LongType):
+            return c.try_cast("decimal(38, 6)").try_cast("bigint")
         return c.try_cast(target)
     return c.cast(target)
 

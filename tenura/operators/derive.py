@@ -9,7 +9,6 @@ from tenura import fixed_values as fv
 from tenura.functions.dates import whole_days
 from tenura.functions.values import at_least, money
 from tenura.operators.neighbours import HOT_ROWS, with_neighbours
-from tenura.session import broadcast_if_small
 
 SUBSCRIPTION_ORDER = ("start_date", "subscription_id")
 
@@ -28,7 +27,7 @@ def with_plan_revenue(subs: DataFrame, plans: DataFrame) -> DataFrame:
     A tier holds a large part of all rows, so the plans go to the rows and not the rows
     to the plans.
     """
-    prices = broadcast_if_small(plans.select("plan_tier", "price_per_seat_usd"))
+    prices = plans.select("plan_tier", "price_per_seat_usd")
     gross = F.col("seats") * F.col("price_per_seat_usd")
     discount = money(F.col("gross_revenue") * _by_tier(fv.DISCOUNT_RATES))
     return (
@@ -98,7 +97,7 @@ def churn_events_from(subs: DataFrame) -> DataFrame:
     months = at_least(days / fv.REFUND_MONTH_DAYS, fv.REFUND_MIN_MONTHS)
     refund = money(F.col("mrr_amount") * months * fv.REFUND_SHARE)
     return subs.where("churn_flag").select(
-        F.concat(F.lit("C"), F.substring("subscription_id", 2, 64)).alias("churn_event_id"),
+        F.concat(F.lit("C"), F.expr("substring(subscription_id, 2)")).alias("churn_event_id"),
         "account_id",
         F.to_date("end_date").alias("churn_date"),
         F.when(days < fv.REFUND_TERM_DAYS, refund).otherwise(F.lit(0.0)).alias("refund_amount_usd"),

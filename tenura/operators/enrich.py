@@ -98,7 +98,7 @@ def enrich_feature_usage(df: DataFrame) -> DataFrame:
     counts = ("usage_count", "usage_duration_secs", "error_count")
     return df.withColumns(
         {"usage_date": _day(df, "usage_date")}
-        | {c: non_negative(F.col(c)).cast("int") for c in counts}
+        | {c: non_negative(F.col(c)).cast("bigint") for c in counts}
         | {"is_beta_feature": truthy(F.col("is_beta_feature"))}
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenura.session import broadcast_if_small, cut
+from tenura.session import cut
 
 HOT_ROWS = 4_000_000
 
@@ -50,14 +50,13 @@ def _in_one_window(
     added = {name: F.lead(c).over(w) for name, c in next_of.items()}
     added |= {name: F.lag(c).over(w) for name, c in previous_of.items()}
     if sequence:
-        added[sequence] = F.row_number().over(w)
+        added[sequence] = F.row_number().over(w).cast("bigint")
     return df.withColumns(added)
 
 
 def _in_slices(
     df: DataFrame,
     slices: int,
-    large_keys: int,
     keys: Sequence[str],
     order: Sequence[str],
     next_of: Mapping[str, str],
@@ -98,10 +97,8 @@ def _in_slices(
         | {f"_n_{name}": F.lead(c).over(inside) for name, c in next_of.items()}
         | {f"_p_{name}": F.lag(c).over(inside) for name, c in previous_of.items()}
     )
-    # A key spans neighbouring slices, so there are at most this many (key, slice) pairs.
-    bounded = broadcast_if_small(edges, large_keys + slices)
     joined = rows.alias("r").join(
-        bounded.alias("e"),
+        edges.alias("e"),
         reduce(
             lambda a, b: a & b,
             [F.col(f"r.{n}").eqNullSafe(F.col(f"e.{n}")) for n in [*keys, "_slice"]],
@@ -118,7 +115,7 @@ def _in_slices(
         for name in previous_of
     ]
     if sequence:
-        added.append((F.col("_offset") + F.col("_place")).cast("int").alias(sequence))
+        added.append((F.col("_offset") + F.col("_place")).alias(sequence))
     return joined.select(*[F.col(f"r.{c}").alias(c) for c in df.columns], *added)
 
 
@@ -141,10 +138,9 @@ def with_neighbours(
     if hot is None:
         return _in_one_window(df, keys, order, next_of, previous_of, sequence)
     size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
-    names = broadcast_if_small(hot, size["keys"])
-    usual = df.join(names, _same(df, names, keys), "left_anti")
-    large = df.join(names, _same(df, names, keys), "left_semi")
+    usual = df.join(hot, _same(df, hot, keys), "left_anti")
+    large = df.join(hot, _same(df, hot, keys), "left_semi")
     slices = math.ceil(size["rows"] / hot_rows) + 1
     return _in_one_window(usual, keys, order, next_of, previous_of, sequence).unionByName(
-        _in_slices(large, slices, size["keys"], keys, order, next_of, previous_of, sequence)
+        _in_slices(large, slices, keys, order, next_of, previous_of, sequence)
     )

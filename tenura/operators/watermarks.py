@@ -6,7 +6,6 @@ moves back and needs no rewrite of stored state.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Iterable
 from datetime import date, timedelta
 
@@ -48,7 +47,8 @@ class Watermarks:
         return self._read(self.path)
 
     def _append(self, rows: Iterable[tuple[str, date | None, bool]]) -> None:
-        seq = time.time_ns()
+        # From the log, not from a clock, so that hosts whose clocks differ agree on the order.
+        seq = 1 + (self.log().agg(F.max("seq")).first()[0] or 0)
         for key, day, reset in rows:
             row = self.spark.range(1).select(
                 F.lit(day).cast("date").alias("day"),

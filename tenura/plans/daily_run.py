@@ -27,7 +27,7 @@ from tenura.operators.versioned import (
 from tenura.operators.watermarks import BEFORE_START, Watermarks
 from tenura.plans import marts
 from tenura.schemas import TABLES, WAREHOUSE, SourceTable
-from tenura.session import BROADCAST_ROWS, cut
+from tenura.session import cut
 from tenura.sources.csv import read_raw
 from tenura.sources.lake import append_months, read_days, read_months, write_days
 
@@ -89,14 +89,16 @@ def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write and count in the same pass.
 
     When adaptive execution finds the input empty it drops the rest of the plan, the
-    counter with it, and the finished write reports no count.
+    counter with it, and the finished write reports no count; any other failure is raised.
     """
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     try:
         return seen.get["rows"]
     except Py4JJavaError:
-        return 0
+        if df.isEmpty():
+            return 0
+        raise
 
 
 def ingest_table(
@@ -183,7 +185,9 @@ def load_table(
     )
     if table.name == "subscriptions" and modes.scope == "history":
         touched = rows.select("account_id").distinct()
-        rows = staged(spark, store, table).join(touched, "account_id", "left_semi")
+        known = staged(spark, store, table, None, load_date)
+        known = known.where(F.col(table.event_date) <= F.lit(load_date))
+        rows = known.join(touched, "account_id", "left_semi")
     unique = keep_last(rows, _collapse_key(table, modes.collapse), ["_ingestion_time"])
     versioned = align(with_version(unique, time.time_ns() // 1_000_000), table.warehouse_schema)
     written = _counted(
@@ -259,8 +263,7 @@ def refresh_marts(
                 after,
             )
         )
-        if affected.count() <= BROADCAST_ROWS:
-            few = F.broadcast(affected)
+        few = affected
     fresh = {
         "mrr_monthly": marts.mrr_monthly(
             subs, fact("fact_churn_events", _first_day(mrr_from)), as_of,

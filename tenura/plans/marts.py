@@ -16,7 +16,7 @@ from tenura import fixed_values as fv
 from tenura.functions.dates import month_number, month_spine
 from tenura.functions.values import money, percent_or_zero, ratio
 from tenura.operators.clean import event_window
-from tenura.session import BROADCAST_ROWS, cut
+from tenura.session import cut
 
 
 def _from_month(df: DataFrame, column: str, refresh_from: int | None) -> DataFrame:
@@ -262,10 +262,8 @@ def affected_accounts(
     return parts[0].union(parts[1]).union(parts[2]).distinct()
 
 
-def _only(df: DataFrame, accounts: DataFrame | None, small: bool) -> DataFrame:
-    if accounts is None:
-        return df
-    return df.join(F.broadcast(accounts) if small else accounts, "account_id", "left_semi")
+def _only(df: DataFrame, accounts: DataFrame | None) -> DataFrame:
+    return df if accounts is None else df.join(accounts, "account_id", "left_semi")
 
 
 def health_score(
@@ -286,23 +284,17 @@ def health_score(
     usage per subscription before it meets the subscriptions, so no join sees the rows of
     a large account.  All sums are partitioned by account, as the joins need them.
 
-    ``affected`` limits the result to those accounts.  Their number is counted: up to
-    100 000 keys go to every task and cut the facts before any shuffle; beyond that the
-    keys cut the sums instead.
+    ``affected`` limits the result to those accounts, by semi joins on the facts; Spark, which
+    knows the bytes, decides whether the keys are broadcast.
 
     Accounts without a subscription: ``reference`` reads the missing columns as 0, '' and
     1970-01-01, so the account counts as active, with an empty tier, idle since 1970.
     ``nulls`` leaves them unknown: tier of the account, no points for or against.
     """
-    if affected is None:
-        keys, small = None, False
-    else:
-        keys = cut(affected)
-        small = keys.count() <= BROADCAST_ROWS
-    early = keys if small else None
+    keys = None if affected is None else cut(affected)
 
     latest = (
-        _only(subs, early, small)
+        _only(subs, keys)
         .groupBy("account_id")
         .agg(
             F.max(
@@ -324,12 +316,12 @@ def health_score(
     used = (
         recent.groupBy("subscription_id")
         .agg(F.sum("usage_count").alias("uses"))
-        .join(_only(subs, early, small).select("subscription_id", "account_id"), "subscription_id")
+        .join(_only(subs, keys).select("subscription_id", "account_id"), "subscription_id")
         .groupBy("account_id")
         .agg(F.sum("uses").alias("uses"))
     )
     support = (
-        _only(tickets, early, small)
+        _only(tickets, keys)
         .groupBy("account_id")
         .agg(
             F.avg("satisfaction_score").alias("satisfaction"),
@@ -342,7 +334,7 @@ def health_score(
         left = churn.select("account_id").distinct().withColumn("has_churn", F.lit(True))
         base = base.join(left, "account_id", "left")
     else:
-        base = _only(base, keys, small)
+        base = _only(base, keys)
     joined = (
         base.join(latest, "account_id", "left")
         .join(used, "account_id", "left")

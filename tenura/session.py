@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Skewed joins are split even when the split costs one more shuffle: an account may
 # hold a large part of all rows.
@@ -74,16 +73,3 @@ def cut(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# A frame is broadcast only after its rows were counted.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark a narrow frame for broadcast if it has few rows; else leave the join to Spark.
-
-    ``rows`` is the number of rows where the caller already counted them.
-    """
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -1,7 +1,7 @@
 """The supplied star-schema tables read as subscription sources.
 
-Order dates of 1995-2001 are folded into 2024-2026; customers become accounts, orders
-subscriptions, line items feature usage and events support tickets.
+Order dates of 1995-2001 are folded into 2024-2026; customers and suppliers become accounts (suppliers
+those without a subscription), orders subscriptions, line items feature usage and events support tickets.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tenura.operators.derive import with_ever_churned
 COLUMNS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "orders": (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
         "o_orderdate timestamp_ntz, o_orderpriority string"
@@ -62,16 +63,11 @@ def _folded(column: str) -> str:
 
 _START = _folded("o_orderdate")
 _END = f"timestamp({_START}) + make_dt_interval(int(30 + o_orderkey % 151), int(o_orderkey % 24))"
-# Customers whose number ends in 9 are the accounts without a subscription; without this
-# rule of the mapping every account would have one.
-_SUBSCRIBED = "o_custkey % 10 <> 9"
 
 
 def subscriptions(spark: SparkSession, data_dir: str) -> DataFrame:
     return (
-        table(spark, data_dir, "orders")
-        .where(_SUBSCRIBED)
-        .selectExpr(
+        table(spark, data_dir, "orders").selectExpr(
             f"{_id('S', 'o_orderkey')} as subscription_id",
             f"{_id('A', 'o_custkey')} as account_id",
             f"{_START} as start_date",
@@ -88,7 +84,7 @@ def churn_events(spark: SparkSession, data_dir: str) -> DataFrame:
     reasons = " ".join(f"when '{code}' then '{text}'" for code, text in REASONS.items())
     return (
         table(spark, data_dir, "orders")
-        .where(f"{_SUBSCRIBED} and o_orderstatus = 'F'")
+        .where("o_orderstatus = 'F'")
         .selectExpr(
             f"{_id('C', 'o_orderkey')} as churn_event_id",
             f"{_id('A', 'o_custkey')} as account_id",
@@ -102,19 +98,27 @@ def churn_events(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def accounts(spark: SparkSession, data_dir: str) -> DataFrame:
     nations = table(spark, data_dir, "nation").select("n_nationkey", "n_name")
+    buyers = table(spark, data_dir, "customer").selectExpr(
+        f"{_id('A', 'c_custkey')} as account_id", "c_custkey as n", "c_name as account_name",
+        "c_mktsegment as industry", "c_nationkey as nation",
+    )
+    sellers = table(spark, data_dir, "supplier").selectExpr(
+        f"{_id('V', 's_suppkey')} as account_id", "s_suppkey as n", "s_name as account_name",
+        "'SUPPLIER' as industry", "s_nationkey as nation",
+    )
     rows = (
-        table(spark, data_dir, "customer")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        buyers.unionByName(sellers)
+        .join(nations, F.col("nation") == F.col("n_nationkey"))
         .selectExpr(
-            f"{_id('A', 'c_custkey')} as account_id",
-            "c_name as account_name",
-            "c_mktsegment as industry",
+            "account_id",
+            "account_name",
+            "industry",
             "n_name as country",
-            "date_add(date'2024-01-01', int(c_custkey % 1096)) as signup_date",
-            f"{_pick(REFERRALS, 'c_custkey % 6')} as referral_source",
-            f"{_pick(fv.PLAN_TIERS, 'c_custkey % 4')} as plan_tier",
-            "int(1 + c_custkey % 50) as seats",
-            "c_custkey % 5 < 2 as is_trial",
+            "date_add(date'2024-01-01', int(n % 1096)) as signup_date",
+            f"{_pick(REFERRALS, 'n % 6')} as referral_source",
+            f"{_pick(fv.PLAN_TIERS, 'n % 4')} as plan_tier",
+            "int(1 + n % 50) as seats",
+            "n % 5 < 2 as is_trial",
         )
     )
     return with_ever_churned(rows, churn_events(spark, data_dir))
@@ -126,9 +130,9 @@ def feature_usage(spark: SparkSession, data_dir: str) -> DataFrame:
         f"{_id('S', 'l_orderkey')} as subscription_id",
         f"{_folded('l_shipdate')} as usage_date",
         f"{_pick(FEATURES, 'l_partkey % 5')} as feature_name",
-        "int(l_quantity) as usage_count",
-        "int(l_quantity * (10 + l_suppkey % 51)) as usage_duration_secs",
-        "l_linenumber % 4 as error_count",
+        "bigint(l_quantity) as usage_count",
+        "bigint(l_quantity * (10 + l_suppkey % 51)) as usage_duration_secs",
+        "bigint(l_linenumber % 4) as error_count",
         "l_partkey % 10 = 0 as is_beta_feature",
     )
 

@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 
 import __spark_entry__ as entry_points
+from tenura.catalog.queries import QUERIES
 from tenura.operators import clean
 from tenura.plans import marts
 from tenura.sources import testdata as td
@@ -18,7 +19,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if n not in WRITES])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITES])
 def test_no_cross_or_nested_loop_join(spark, data_dir, name):
     plan = _plan(entry_points.queries()[name](spark, data_dir))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
