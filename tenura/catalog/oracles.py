@@ -126,7 +126,7 @@ def _days(later: str, earlier: str) -> str:
     )
 
 
-def _lifecycle(partition: str, churned: str) -> str:
+def _lifecycle(partition: str, churned: str, source: str = "src_subscriptions") -> str:
     return f"""
 SELECT subscription_id, account_id, start_date, CAST(end_ts AS DATE) AS end_date, plan_tier, seats,
   billing_frequency, CAST(seq AS BIGINT) AS subscription_sequence,
@@ -137,7 +137,7 @@ SELECT subscription_id, account_id, start_date, CAST(end_ts AS DATE) AS end_date
   round_even(greatest(mrr_amount, 0) * 12, 2) AS arr_amount, n
 FROM (SELECT *, lead(start_date) OVER w AS next_start, lag(end_ts) OVER w AS prev_end,
         row_number() OVER w AS seq
-      FROM src_subscriptions
+      FROM {source}
       WINDOW w AS (PARTITION BY {partition} ORDER BY start_date, subscription_id)) placed"""
 
 
@@ -242,110 +242,121 @@ FROM churn_groups c CROSS JOIN spanning_accounts b WHERE c.year = 2025 AND c.mon
 
 # --- revenue mart ------------------------------------------------------------------------------
 
-PARTS["calendar_months"] = """
-SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2026-06-01', INTERVAL 1 MONTH)) AS DATE) AS m"""
-PARTS["stepped_months"] = """
-SELECT DISTINCT CAST(date_trunc('month', DATE '2024-01-01' + CAST(i * 30 AS INTEGER)) AS DATE) AS m
-FROM range(0, 30) t(i)"""
-PARTS["new_accts"] = """
-SELECT year(start_date) AS y, month(start_date) AS m, account_id FROM facts
-WHERE subscription_sequence = 1"""
-PARTS["churned_accts"] = """
-SELECT year(churn_date) AS y, month(churn_date) AS m, account_id FROM src_churn_events"""
-
-_END_TEST = (
-    "(year(s.end_date) > year(m.m) OR (year(s.end_date) = year(m.m) "
-    "AND month(s.end_date) >= month(m.m)))"
-)
-_REFERENCE_OVERLAP = (
-    "year(s.start_date) <= year(m.m) AND month(s.start_date) <= month(m.m) AND " + _END_TEST
-)
-_CALENDAR_OVERLAP = (
-    "year(s.start_date) * 100 + month(s.start_date) <= year(m.m) * 100 + month(m.m) AND " + _END_TEST
-)
+# Months are counted from year 0, so a subscription's span is a range of whole numbers.
+
 
+def _month_number(day: str) -> str:
+    return f"(12 * year({day}) + month({day}) - 1)"
 
-def _mrr(months: str, overlap: str, month_filter: str = "TRUE", start_filter: str = "TRUE") -> str:
+
+PARTS["calendar_months"] = "SELECT unnest(range(12 * 2024, 12 * 2026 + 6)) AS nth"
+PARTS["stepped_months"] = f"""
+SELECT DISTINCT {_month_number('d')} AS nth
+FROM (SELECT DATE '2024-01-01' + CAST(30 * i AS INTEGER) AS d FROM range(30) t(i))"""
+
+
+def _revenue(
+    months: str, by_calendar: bool = False, keep: str = "TRUE",
+    facts: str = "facts", churn: str = "src_churn_events",
+) -> str:
+    """Revenue per month and tier.  As written, month numbers within a year must not fall either."""
+    season = "TRUE" if by_calendar else "nth % 12 >= month(start_date) - 1"
     return f"""
-SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, plan_tier,
+SELECT CAST(nth // 12 AS INTEGER) AS year, CAST(nth % 12 + 1 AS INTEGER) AS month, plan_tier,
   count(DISTINCT account_id) AS active_accounts,
-  count(DISTINCT CASE WHEN (year, month, account_id) IN (SELECT (y, m, account_id) FROM new_accts) THEN account_id END) AS new_accounts,
-  count(DISTINCT CASE WHEN (year, month, account_id) IN (SELECT (y, m, account_id) FROM churned_accts) THEN account_id END) AS churned_accounts,
+  count(DISTINCT account_id) FILTER (WHERE arrived) AS new_accounts,
+  count(DISTINCT account_id) FILTER (WHERE gone) AS churned_accounts,
   round_even(sum(mrr_amount), 2) AS total_mrr, round_even(sum(arr_amount), 2) AS total_arr,
-  round_even(avg(mrr_amount), 2) AS avg_mrr_per_account, CAST(sum(seats) AS BIGINT) AS total_seats
-FROM (SELECT year(m.m) AS year, month(m.m) AS month, s.account_id, s.plan_tier, s.mrr_amount, s.arr_amount, s.seats
-      FROM {months} m JOIN (SELECT * FROM facts WHERE {start_filter}) s ON {overlap} WHERE {month_filter}) a
-GROUP BY 1, 2, 3"""
-
-
-PARTS["mart_mrr"] = _mrr("stepped_months", _REFERENCE_OVERLAP)
+  round_even(sum(mrr_amount) / count(mrr_amount), 2) AS avg_mrr_per_account,
+  CAST(sum(seats) AS BIGINT) AS total_seats
+FROM (SELECT *, unnest(range({_month_number('start_date')}, {_month_number('end_date')} + 1)) AS nth
+      FROM {facts}) listed
+LEFT JOIN (
+  SELECT account_id, nth, bool_or(first_one) AS arrived, bool_or(NOT first_one) AS gone
+  FROM (SELECT account_id, {_month_number('start_date')} AS nth, TRUE AS first_one
+        FROM {facts} WHERE subscription_sequence = 1
+        UNION ALL SELECT account_id, {_month_number('churn_date')}, FALSE FROM {churn}) turns
+  GROUP BY ALL) marked USING (account_id, nth)
+WHERE nth IN (SELECT nth FROM {months}) AND {season} AND {keep}
+GROUP BY nth, plan_tier"""
+
+
+PARTS["mart_mrr"] = _revenue("stepped_months")
 ORACLES["mrr_monthly_reference"] = _sql("SELECT * FROM mart_mrr")
-ORACLES["mrr_monthly_calendar"] = _sql(_mrr("calendar_months", _CALENDAR_OVERLAP))
+ORACLES["mrr_monthly_calendar"] = _sql(_revenue("calendar_months", by_calendar=True))
 ORACLES["mrr_monthly_refresh_reference"] = _sql(
-    _mrr("stepped_months", _REFERENCE_OVERLAP, "m.m >= DATE '2026-01-01'", "start_date >= DATE '2026-01-01'")
+    _revenue("stepped_months", keep="nth >= 12 * 2026 AND start_date >= DATE '2026-01-01'")
 )
 ORACLES["mrr_monthly_refresh_corrected"] = _sql(
-    _mrr("calendar_months", _CALENDAR_OVERLAP, "m.m >= DATE '2026-01-01'")
-)
-ORACLES["mrr_one_month"] = _sql(
-    _mrr("calendar_months", _REFERENCE_OVERLAP, "m.m = DATE '2025-03-01'")
+    _revenue("calendar_months", by_calendar=True, keep="nth >= 12 * 2026")
 )
-# The wide run takes in rows dated up to its batch date only, so its facts are those.
-_RUN_LIMIT = " AND {0} <= DATE '2026-06-30'"
+ORACLES["mrr_one_month"] = _sql(_revenue("calendar_months", keep="nth = 12 * 2025 + 2"))
 
 # --- health mart ---------------------------------------------------------------------------------
 
 
-def _health(facts: str, unmatched: str, usage_upper: str = "TRUE", affected: str = "") -> str:
-    def column(name: str, default: str) -> str:
-        return f"coalesce({name}, {default})" if unmatched == "reference" else name
-
-    churned, mrr = column("ls.churn_flag", "FALSE"), column("ls.mrr_amount", "0")
-    tier = f"coalesce({column('ls.plan_tier', chr(39) * 2)}, a.plan_tier)"
-    idle = f"date_diff('day', {column('la.last_sub', 'DATE ' + chr(39) + '1970-01-01' + chr(39))}, DATE '2026-06-30')"
-    window = affected or "TRUE"
-
-    def keys(table: str, day: str) -> str:
-        return f"SELECT account_id FROM {table} WHERE {window.format(day=day)}"
-
+def _health(
+    facts: str = "facts", zeroes: bool = True, usage_upto: str = "9999-12-31", touched: str = "TRUE",
+    tickets: str = "src_support_tickets", churn: str = "src_churn_events", accounts: str = "src_accounts",
+    usage: str = "src_feature_usage",
+) -> str:
+    """Score per account from one grouped part per source.
+
+    ``zeroes`` puts 0, '' and 1970-01-01 where an account has no subscription; ``touched`` is a
+    condition on ``day`` that one event of the account must meet.
+    """
+    inputs = (
+        "coalesce(churned, FALSE) AS churned, coalesce(mrr, 0) AS mrr, coalesce(tier, '') AS tier, "
+        "coalesce(newest, DATE '1970-01-01') AS newest"
+        if zeroes
+        else "churned, mrr, coalesce(tier, plan_tier) AS tier, newest"
+    )
     return f"""
-SELECT a.account_id, a.account_name, {tier} AS plan_tier, a.country, a.industry,
-  CAST(greatest(0, least(100, 50
-    + CASE WHEN NOT {churned} THEN 15 ELSE 0 END + CASE WHEN {mrr} > 0 THEN 10 ELSE 0 END
-    + CASE WHEN sat.avg_score >= 4.0 THEN 10 ELSE 0 END
-    + CASE WHEN coalesce(u.uses, 0) > 0 THEN 10 ELSE 0 END
-    - CASE WHEN {churned} THEN 15 ELSE 0 END
-    - CASE WHEN coalesce(ht.open_high, 0) > 0 THEN 10 ELSE 0 END
-    - CASE WHEN {idle} > 90 THEN 10 ELSE 0 END)) AS BIGINT) AS health_score,
-  round_even(CAST(coalesce(ls.mrr_amount, 0) AS DOUBLE), 2) AS mrr_last_month,
-  round_even(sat.avg_score, 2) AS avg_satisfaction,
-  CAST(coalesce(u.uses, 0) AS BIGINT) AS total_usage_30d,
-  CAST(coalesce(ht.open_high, 0) AS BIGINT) AS open_high_tickets,
-  CASE WHEN {churned} THEN 'high' WHEN coalesce(u.uses, 0) = 0 THEN 'high'
-    WHEN {idle} > 90 THEN 'medium' WHEN coalesce(sat.avg_score, 5.0) < 3.0 THEN 'medium'
-    ELSE 'low' END AS churn_risk,
-  CAST({idle} AS BIGINT) AS days_since_last_activity
-FROM src_accounts a
-JOIN (SELECT DISTINCT account_id FROM (
-        {keys(facts, 'start_date')} UNION ALL {keys('src_churn_events', 'churn_date')}
-        UNION ALL {keys('src_support_tickets', 'CAST(submitted_at AS DATE)')}) k) af USING (account_id)
-LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY start_date DESC, subscription_id DESC) AS rn FROM {facts}) r WHERE rn = 1) ls ON a.account_id = ls.account_id
-LEFT JOIN (SELECT s.account_id, sum(f.usage_count) AS uses FROM src_feature_usage f JOIN {facts} s USING (subscription_id)
-           WHERE f.usage_date >= DATE '2026-06-30' - 30 AND {usage_upper} GROUP BY 1) u ON a.account_id = u.account_id
-LEFT JOIN (SELECT account_id, avg(satisfaction_score) AS avg_score FROM src_support_tickets
-           WHERE satisfaction_score IS NOT NULL GROUP BY 1) sat ON a.account_id = sat.account_id
-LEFT JOIN (SELECT account_id, count(*) FILTER (WHERE priority = 'high' AND closed_at IS NULL) AS open_high
-           FROM src_support_tickets GROUP BY 1) ht ON a.account_id = ht.account_id
-LEFT JOIN (SELECT account_id, max(start_date) AS last_sub FROM {facts} GROUP BY 1) la ON a.account_id = la.account_id"""
-
-
-PARTS["mart_health"] = _health("facts", "reference")
+SELECT account_id, account_name, tier AS plan_tier, country, industry,
+  CAST(least(greatest(50 + CASE churned WHEN TRUE THEN -15 WHEN FALSE THEN 15 ELSE 0 END
+    + 10 * (CAST(coalesce(mrr > 0, FALSE) AS INTEGER) + CAST(coalesce(mood >= 4, FALSE) AS INTEGER)
+      + CAST(uses > 0 AS INTEGER) - CAST(waiting > 0 AS INTEGER)
+      - CAST(coalesce(idle > 90, FALSE) AS INTEGER)), 0), 100) AS BIGINT) AS health_score,
+  round_even(CAST(coalesce(mrr, 0) AS DOUBLE), 2) AS mrr_last_month,
+  round_even(mood, 2) AS avg_satisfaction,
+  CAST(uses AS BIGINT) AS total_usage_30d, CAST(waiting AS BIGINT) AS open_high_tickets,
+  CASE WHEN coalesce(churned, FALSE) OR uses = 0 THEN 'high'
+    WHEN coalesce(idle > 90, FALSE) OR coalesce(mood < 3, FALSE) THEN 'medium' ELSE 'low' END AS churn_risk,
+  CAST(idle AS BIGINT) AS days_since_last_activity
+FROM (
+  SELECT *, DATE '2026-06-30' - newest AS idle
+  FROM (
+    SELECT account_id, account_name, country, industry, mood, coalesce(waiting, 0) AS waiting,
+      coalesce(uses, 0) AS uses, {inputs}
+    FROM {accounts}
+    LEFT JOIN (
+      SELECT account_id, max(start_date) AS newest, max_by(churn_flag, rank) AS churned,
+        max_by(mrr_amount, rank) AS mrr, max_by(plan_tier, rank) AS tier
+      FROM (SELECT *, CAST(start_date AS VARCHAR) || subscription_id AS rank FROM {facts}) ranked
+      GROUP BY account_id) held USING (account_id)
+    LEFT JOIN (
+      SELECT account_id, sum(uses) AS uses
+      FROM (SELECT subscription_id, sum(usage_count) AS uses FROM {usage}
+            WHERE usage_date BETWEEN DATE '2026-05-31' AND DATE '{usage_upto}'
+            GROUP BY subscription_id) per_subscription
+      JOIN {facts} USING (subscription_id) GROUP BY account_id) used USING (account_id)
+    LEFT JOIN (
+      SELECT account_id, avg(satisfaction_score) AS mood,
+        count(CASE WHEN priority = 'high' AND closed_at IS NULL THEN 1 END) AS waiting
+      FROM {tickets} GROUP BY account_id) asked USING (account_id)
+    WHERE account_id IN (
+      SELECT account_id
+      FROM (SELECT account_id, start_date AS day FROM {facts}
+            UNION ALL SELECT account_id, churn_date FROM {churn}
+            UNION ALL SELECT account_id, CAST(submitted_at AS DATE) FROM {tickets}) moves
+      WHERE {touched})))"""
+
+
+PARTS["mart_health"] = _health()
 ORACLES["health_score_reference"] = _sql("SELECT * FROM mart_health")
-ORACLES["health_score_corrected"] = _sql(
-    _health("facts_asof", "nulls", "f.usage_date <= DATE '2026-06-30'")
-)
+ORACLES["health_score_corrected"] = _sql(_health("facts_asof", zeroes=False, usage_upto="2026-06-30"))
 ORACLES["health_affected_window"] = _sql(
-    _health("facts", "reference", affected="{day} > DATE '2026-05-31' AND {day} <= DATE '2026-06-30'")
+    _health(touched="day > DATE '2026-05-31' AND day <= DATE '2026-06-30'")
 )
 
 # --- source derivations --------------------------------------------------------------------------
@@ -564,11 +575,14 @@ ORACLES["ingest_stream_usage"] = _sql("""
 SELECT CAST(year(usage_date) * 100 + month(usage_date) AS INTEGER) AS month, feature_name,
   count(*) AS rows, CAST(sum(usage_count) AS BIGINT) AS uses
 FROM usage_last GROUP BY 1, 2""")
-ORACLES["daily_run_mrr"] = (
-    _sql("SELECT * FROM mart_mrr")
-    .replace("FROM src_subscriptions\n      WINDOW", "FROM (SELECT * FROM src_subscriptions WHERE start_date <= DATE '2026-06-30') src_limited\n      WINDOW")
-    .replace("account_id FROM src_churn_events)", "account_id FROM src_churn_events WHERE churn_date <= DATE '2026-06-30')")
-)
+# A run takes in rows dated up to its batch date, so its marts are those of these rows.
+PARTS["run_subscriptions"] = "SELECT * FROM src_subscriptions WHERE start_date <= DATE '2026-06-30'"
+PARTS["run_churn"] = "SELECT * FROM src_churn_events WHERE churn_date <= DATE '2026-06-30'"
+PARTS["run_usage"] = "SELECT * FROM src_feature_usage WHERE usage_date <= DATE '2026-06-30'"
+PARTS["run_tickets"] = "SELECT * FROM src_support_tickets WHERE CAST(submitted_at AS DATE) <= DATE '2026-06-30'"
+PARTS["run_accounts"] = "SELECT * FROM src_accounts WHERE signup_date <= DATE '2026-06-30'"
+PARTS["run_facts"] = _lifecycle("account_id", _REFERENCE_TAIL, "run_subscriptions")
+ORACLES["daily_run_mrr"] = _sql(_revenue("stepped_months", facts="run_facts", churn="run_churn"))
 
 # --- checks ----------------------------------------------------------------------------------------------------
 
