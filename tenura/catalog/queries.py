@@ -561,12 +561,18 @@ def csv_roundtrip(spark, d):
 
 @query
 def ingest_stream_usage(spark, d):
-    """Usage as text files, taken in by the file stream, newest row per id."""
+    """Usage as text files in two arrivals, the second with all columns the other way round.
+
+    The first arrival holds every id with a count of its own; the last row of an id counts.
+    """
     table, folder = TABLES["feature_usage"], scratch_path(spark, "stream")
-    csv_source.write_csv(td.feature_usage(spark, d), f"{folder}/raw")
-    ingest_stream.ingest_available(
-        spark, f"{folder}/raw", f"{folder}/lake", f"{folder}/checkpoint", table
-    )
+    usage = td.feature_usage(spark, d)
+    arrivals = (usage.withColumn("usage_count", F.lit(1)), usage.select(*reversed(usage.columns)))
+    for number, rows in enumerate(arrivals):
+        csv_source.write_csv(rows, f"{folder}/raw/arrival={number}")
+        ingest_stream.ingest_available(
+            spark, f"{folder}/raw/arrival=*", f"{folder}/lake", f"{folder}/checkpoint", table
+        )
     rows = ingest_stream.current_stream_rows(spark, f"{folder}/lake", table)
     return rows.groupBy(month_key("usage_date").alias("month"), "feature_name").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("usage_count").alias("uses")

@@ -155,15 +155,41 @@ def test_stream_reads_every_file_once(spark, tmp_path):
     assert {r["usage_id"]: r["usage_count"] for r in rows.collect()} == {"U1": 1, "U2": 5, "U3": 3}
 
 
-def test_stream_drops_repeats_and_late_rows(spark, tmp_path):
+def test_stream_keeps_the_last_of_a_key_and_sets_late_rows_aside(spark, tmp_path):
     raw, out, ckpt = (str(tmp_path / n) for n in ("raw", "lake", "ckpt"))
     run = lambda: ingest_stream.ingest_available(spark, raw, out, ckpt, USAGE, lateness="2 days")
     _write_usage(spark, raw, ("U1", "S", date(2024, 1, 10), 1))
-    run()
+    assert run() == 1
     _write_usage(spark, raw, ("U1", "S", date(2024, 1, 10), 7), ("U2", "S", date(2024, 1, 1), 2), ("U3", "S", date(2024, 1, 9), 3))
-    run()
-    got = {r["usage_id"]: r["usage_count"] for r in spark.read.parquet(out).collect()}
-    assert got == {"U1": 1, "U3": 3}
+    assert run() == 3
+    rows = ingest_stream.current_stream_rows(spark, out, USAGE)
+    assert {r["usage_id"]: r["usage_count"] for r in rows.collect()} == {"U1": 7, "U3": 3}
+    late = spark.read.parquet(ingest_stream.late_path(out)).collect()
+    assert [(r["usage_id"], r["usage_count"]) for r in late] == [("U2", 2)]
+
+
+def test_stream_and_batch_read_columns_by_name(spark, tmp_path):
+    raw, out, ckpt = tmp_path / "raw", str(tmp_path / "lake"), str(tmp_path / "ckpt")
+    raw.mkdir()
+    (raw / "a.csv").write_text(
+        "\ufeffsubscription_id, Usage_ID ,usage_date,usage_count,note\nS1,U1,2024-01-02,4,\"a, b\"\n", encoding="utf-8"
+    )
+    (raw / "b.csv").write_text("usage_id,usage_date,feature_name\nU2,2024-01-03,api\n\n")
+    assert ingest_stream.ingest_available(spark, str(raw), out, ckpt, USAGE) == 2
+    got = {r["usage_id"]: r.asDict() for r in ingest_stream.current_stream_rows(spark, out, USAGE).collect()}
+    assert (got["U1"]["subscription_id"], got["U1"]["usage_count"]) == ("S1", 4)
+    assert (got["U2"]["subscription_id"], got["U2"]["feature_name"]) == (None, "api")
+    one = spark.read.options(**csv_source.READ_OPTIONS).csv(str(raw / "a.csv"))
+    batch = clean.standardise(one, USAGE).collect()[0].asDict()
+    assert all(got["U1"][n] == batch[n] for n in ("usage_id", "subscription_id", "usage_date", "usage_count"))
+
+
+def test_stream_refuses_a_file_without_header(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("U1,S1,2024-01-02\n")
+    with pytest.raises(Exception, match="no header of feature_usage"):
+        ingest_stream.ingest_available(spark, str(raw), str(tmp_path / "lake"), str(tmp_path / "ckpt"), USAGE)
 
 
 def test_event_window_bounds_on_timestamps(spark):
