@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import fields, replace
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
@@ -15,8 +16,8 @@ from tenura.plans import daily_run
 from tenura.session import configure
 
 STEPS = (
-    "run", "backfill", "ingest", "transform", "check", "load", "marts", "watermarks", "reset",
-    "reset-all",
+    "run", "backfill", "ingest", "transform", "check", "load", "marts", "month", "health",
+    "watermarks", "reset", "reset-all",
 )
 
 
@@ -34,13 +35,29 @@ def parse(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--step-days", type=int, default=1)
     parser.add_argument("--as-of", type=date.fromisoformat, default=None)
     parser.add_argument("--modes", choices=("reference", "corrected"), default="reference")
+    parser.add_argument(
+        "--set", dest="choices", action="append", default=[], metavar="MODE=VALUE",
+        help="one mode of daily_run.Modes, such as overlap=calendar",
+    )
     parser.add_argument("--key", default=None, help="watermark key to reset")
     return parser.parse_args(argv)
 
 
+def chosen(args: argparse.Namespace) -> daily_run.Modes:
+    """The named set of modes with single ones changed."""
+    modes = daily_run.CORRECTED if args.modes == "corrected" else daily_run.Modes()
+    known = {f.name: f.type for f in fields(modes)}
+    changes = {}
+    for name, _, value in (c.partition("=") for c in args.choices):
+        if name not in known:
+            raise SystemExit(f"unknown mode {name}; known: {', '.join(known)}")
+        changes[name] = value.lower() == "true" if known[name] == "bool" else value
+    return replace(modes, **changes)
+
+
 def run(spark: SparkSession, args: argparse.Namespace):
     store = daily_run.Store(root=args.root, raw_dir=args.raw or f"{args.root}/raw")
-    modes = daily_run.CORRECTED if args.modes == "corrected" else daily_run.Modes()
+    modes = chosen(args)
     state = Watermarks(spark, store.watermarks)
     day = args.date or _yesterday()
     if args.step == "run":
@@ -58,6 +75,10 @@ def run(spark: SparkSession, args: argparse.Namespace):
         return daily_run.load_all(spark, store, day, modes)
     if args.step == "marts":
         return daily_run.refresh_marts(spark, store, args.as_of or day, modes)
+    if args.step == "month":
+        return daily_run.refresh_month(spark, store, day.year, day.month, modes)
+    if args.step == "health":
+        return daily_run.refresh_health(spark, store, args.first or day - timedelta(days=2), day, modes)
     if args.step == "reset":
         state.reset(args.key)
     if args.step == "reset-all":

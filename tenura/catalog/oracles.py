@@ -207,15 +207,19 @@ WHERE feature_name <> 'api' OR (year = 2025 AND month = 3) OR (year = 2026 AND m
 # --- churn mart ----------------------------------------------------------------------------
 
 _CALENDAR_SPAN = "s.start_date <= last_day(m.m) AND CAST(s.end_ts AS DATE) >= m.m"
-_CHURN = """
+def _churn_of(source: str) -> str:
+    return f"""
 SELECT CAST(year(churn_date) AS INTEGER) AS year, CAST(month(churn_date) AS INTEGER) AS month,
   reason_code, count(*) AS churn_count, round_even(sum(refund_amount_usd), 2) AS total_refund_usd,
   count(*) FILTER (WHERE is_reactivation) AS reactivation_count
-FROM src_churn_events GROUP BY 1, 2, 3"""
-PARTS["churn_groups"] = _CHURN
-PARTS["starting_accounts"] = """
+FROM {source} GROUP BY 1, 2, 3"""
+
+
+PARTS["churn_groups"] = _churn_of("src_churn_events")
+_STARTING = """
 SELECT year(start_date) AS y, month(start_date) AS m, count(DISTINCT account_id) AS cnt
-FROM src_subscriptions GROUP BY 1, 2"""
+FROM {} GROUP BY 1, 2"""
+PARTS["starting_accounts"] = _STARTING.format("src_subscriptions")
 PARTS["all_months"] = """
 SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2026-12-01', INTERVAL 1 MONTH)) AS DATE) AS m"""
 PARTS["active_accounts_by_month"] = f"""
@@ -223,10 +227,10 @@ SELECT year(m.m) AS y, month(m.m) AS m, count(DISTINCT account_id) AS cnt
 FROM src_subscriptions s JOIN all_months m ON {_CALENDAR_SPAN} GROUP BY 1, 2"""
 
 
-def _churn_rate(base: str) -> str:
+def _churn_rate(base: str, groups: str = "churn_groups") -> str:
     return f"""
 SELECT c.*, round_even(CASE WHEN b.cnt > 0 THEN CAST(c.churn_count AS DOUBLE) / b.cnt * 100 ELSE 0 END, 2) AS churn_rate_pct
-FROM churn_groups c LEFT JOIN {base} b ON c.year = b.y AND c.month = b.m"""
+FROM {groups} c LEFT JOIN {base} b ON c.year = b.y AND c.month = b.m"""
 
 
 PARTS["mart_churn"] = _churn_rate("starting_accounts")
@@ -298,7 +302,7 @@ ORACLES["mrr_one_month"] = _sql(_revenue("calendar_months", keep="nth = 12 * 202
 def _health(
     facts: str = "facts", zeroes: bool = True, usage_upto: str = "9999-12-31", touched: str = "TRUE",
     tickets: str = "src_support_tickets", churn: str = "src_churn_events", accounts: str = "src_accounts",
-    usage: str = "src_feature_usage",
+    usage: str = "src_feature_usage", as_of: str = "2026-06-30",
 ) -> str:
     """Score per account from one grouped part per source.
 
@@ -324,7 +328,7 @@ SELECT account_id, account_name, tier AS plan_tier, country, industry,
     WHEN coalesce(idle > 90, FALSE) OR coalesce(mood < 3, FALSE) THEN 'medium' ELSE 'low' END AS churn_risk,
   CAST(idle AS BIGINT) AS days_since_last_activity
 FROM (
-  SELECT *, DATE '2026-06-30' - newest AS idle
+  SELECT *, DATE '{as_of}' - newest AS idle
   FROM (
     SELECT account_id, account_name, country, industry, mood, coalesce(waiting, 0) AS waiting,
       coalesce(uses, 0) AS uses, {inputs}
@@ -337,7 +341,7 @@ FROM (
     LEFT JOIN (
       SELECT account_id, sum(uses) AS uses
       FROM (SELECT subscription_id, sum(usage_count) AS uses FROM {usage}
-            WHERE usage_date BETWEEN DATE '2026-05-31' AND DATE '{usage_upto}'
+            WHERE usage_date BETWEEN DATE '{as_of}' - 30 AND DATE '{usage_upto}'
             GROUP BY subscription_id) per_subscription
       JOIN {facts} USING (subscription_id) GROUP BY account_id) used USING (account_id)
     LEFT JOIN (
@@ -441,10 +445,17 @@ FROM src_support_tickets""")
 
 _USAGE_COLUMNS = """usage_id, subscription_id, usage_date, feature_name, usage_count,
   usage_duration_secs, error_count, is_beta_feature"""
-PARTS["usage_last"] = f"""
-SELECT {_USAGE_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY usage_id ORDER BY usage_date DESC,
+
+
+def _usage_last(keys: str = "usage_id", upto: str = "9999-12-31") -> str:
+    return f"""
+SELECT {_USAGE_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY usage_date DESC,
   subscription_id DESC, feature_name DESC, usage_count DESC, usage_duration_secs DESC,
-  error_count DESC, is_beta_feature DESC) AS rn FROM src_feature_usage) r WHERE rn = 1"""
+  error_count DESC, is_beta_feature DESC) AS rn FROM src_feature_usage WHERE usage_date <= DATE '{upto}') r
+WHERE rn = 1"""
+
+
+PARTS["usage_last"] = _usage_last()
 ORACLES["usage_dedup_keep_last"] = _sql("SELECT * FROM usage_last")
 ORACLES["backfill_union"] = ORACLES["usage_dedup_keep_last"]
 
@@ -576,13 +587,114 @@ SELECT CAST(year(usage_date) * 100 + month(usage_date) AS INTEGER) AS month, fea
   count(*) AS rows, CAST(sum(usage_count) AS BIGINT) AS uses
 FROM usage_last GROUP BY 1, 2""")
 # A run takes in rows dated up to its batch date, so its marts are those of these rows.
-PARTS["run_subscriptions"] = "SELECT * FROM src_subscriptions WHERE start_date <= DATE '2026-06-30'"
-PARTS["run_churn"] = "SELECT * FROM src_churn_events WHERE churn_date <= DATE '2026-06-30'"
-PARTS["run_usage"] = "SELECT * FROM src_feature_usage WHERE usage_date <= DATE '2026-06-30'"
-PARTS["run_tickets"] = "SELECT * FROM src_support_tickets WHERE CAST(submitted_at AS DATE) <= DATE '2026-06-30'"
-PARTS["run_accounts"] = "SELECT * FROM src_accounts WHERE signup_date <= DATE '2026-06-30'"
-PARTS["run_facts"] = _lifecycle("account_id", _REFERENCE_TAIL, "run_subscriptions")
-ORACLES["daily_run_mrr"] = _sql(_revenue("stepped_months", facts="run_facts", churn="run_churn"))
+for _run, _day in (("early", "2026-05-31"), ("run", "2026-06-30")):
+    for _table, _column in (
+        ("subscriptions", "start_date"), ("churn_events", "churn_date"),
+        ("support_tickets", "CAST(submitted_at AS DATE)"), ("accounts", "signup_date"),
+    ):
+        PARTS[f"{_run}_{_table}"] = f"SELECT * FROM src_{_table} WHERE {_column} <= DATE '{_day}'"
+    PARTS[f"{_run}_feature_usage"] = _usage_last(upto=_day)
+    PARTS[f"{_run}_facts"] = _lifecycle("account_id", _REFERENCE_TAIL, f"{_run}_subscriptions")
+    PARTS[f"{_run}_churn_groups"] = _churn_of(f"{_run}_churn_events")
+    PARTS[f"{_run}_starting"] = _STARTING.format(f"{_run}_subscriptions")
+# As written, a step sees the rows of its own batch only.
+PARTS["step_facts"] = _lifecycle(
+    "account_id, start_date > DATE '2026-05-31'", _REFERENCE_TAIL, "run_subscriptions"
+)
+PARTS["step_feature_usage"] = _usage_last("usage_id, usage_date > DATE '2026-05-31'", "2026-06-30")
+
+
+def _tables(run: str) -> dict[str, str]:
+    return {
+        "accounts": f"{run}_accounts", "tickets": f"{run}_support_tickets",
+        "churn": f"{run}_churn_events", "usage": f"{run}_feature_usage",
+    }
+
+
+def _over(old: str, new: str, keys: str) -> str:
+    """Rows of the newer result and those of the older one whose key it lacks."""
+    return f"""
+SELECT * FROM ({new}) fresh UNION ALL BY NAME
+SELECT * FROM ({old}) stale WHERE ({keys}) NOT IN (SELECT ({keys}) FROM ({new}) fresh)"""
+
+
+def _scores_over(facts: str, zeroes: bool, touched: str) -> str:
+    old = _health("early_facts", zeroes, as_of="2026-05-31", **_tables("early"))
+    tables = _tables("run") | {"usage": facts.replace("facts", "feature_usage")}
+    return _over(old, _health(facts, zeroes, touched=touched, **tables), "account_id")
+
+
+ORACLES["daily_run_mrr"] = _sql(_revenue("stepped_months", facts="run_facts", churn="run_churn_events"))
+# The list of months of a run at the end of May stops with April, so April is refreshed first.
+_EARLY_REVENUE = _revenue(
+    "stepped_months", keep="nth <= 12 * 2026 + 3", facts="early_facts", churn="early_churn_events"
+)
+ORACLES["daily_run_incremental_mrr_monthly_reference"] = _sql(_over(
+    _EARLY_REVENUE,
+    _revenue("stepped_months", keep="nth >= 12 * 2026 + 3 AND start_date >= DATE '2026-04-01'",
+             facts="step_facts", churn="run_churn_events"),
+    "year, month, plan_tier",
+))
+ORACLES["daily_run_incremental_mrr_monthly_corrected"] = _sql(
+    _revenue("calendar_months", by_calendar=True, facts="run_facts", churn="run_churn_events")
+)
+ORACLES["daily_run_incremental_customer_health_score_reference"] = _sql(
+    _scores_over("step_facts", True, "day > DATE '2026-06-28'")
+)
+ORACLES["daily_run_incremental_customer_health_score_corrected"] = _sql(
+    _scores_over("run_facts", False, "day > DATE '2026-06-28'")
+)
+for _mode in ("reference", "corrected"):
+    ORACLES[f"daily_run_incremental_churn_summary_{_mode}"] = _sql(
+        _churn_rate("run_starting", "run_churn_groups")
+    )
+ORACLES["daily_run_incremental_feature_usage_summary_reference"] = _sql(_usage("step_feature_usage"))
+ORACLES["daily_run_incremental_feature_usage_summary_corrected"] = _sql(_over(
+    _usage("early_feature_usage"), _usage("run_feature_usage", "usage_date >= DATE '2026-05-01'"),
+    "year, month, feature_name",
+))
+ORACLES["mrr_month_refresh"] = _sql(_over(
+    _EARLY_REVENUE,
+    _revenue("calendar_months", keep="nth = 12 * 2026 + 5", facts="step_facts", churn="run_churn_events"),
+    "year, month, plan_tier",
+))
+ORACLES["churn_month_refresh"] = _sql(f"""
+SELECT * FROM ({_churn_rate('early_starting', 'early_churn_groups')}) known WHERE year * 100 + month < 202606
+UNION ALL BY NAME
+SELECT g.*, round_even(CASE WHEN a.cnt > 0 THEN 100 * CAST(g.churn_count AS DOUBLE) / a.cnt ELSE 0 END, 2) AS churn_rate_pct
+FROM run_churn_groups g, (
+  SELECT count(DISTINCT account_id) AS cnt FROM run_subscriptions
+  WHERE year(start_date) <= 2026 AND month(start_date) <= 6 AND {_month_number('end_ts')} >= 12 * 2026 + 5) a
+WHERE g.year = 2026 AND g.month = 6""")
+ORACLES["usage_month_refresh"] = _sql(_usage("step_feature_usage"))
+ORACLES["health_window_refresh"] = _sql(
+    _scores_over("step_facts", True, "day > DATE '2026-05-31' AND day <= DATE '2026-06-30'")
+)
+ORACLES["backfill_run"] = _sql("\nUNION ALL ".join(
+    f"SELECT '{t.split('_', 1)[1]}' AS table_name, CAST(year({c}) * 100 + month({c}) AS INTEGER) AS month, "
+    f"count(*) AS rows FROM {t} GROUP BY 2"
+    for t, c in (("run_subscriptions", "start_date"), ("run_churn_events", "churn_date"),
+                 ("run_accounts", "signup_date"), ("step_feature_usage", "usage_date"),
+                 ("run_support_tickets", "submitted_at"))
+))
+PARTS["usage_in_two"] = _usage_last("usage_id, usage_date > DATE '2025-06-30'", "2025-12-31")
+PARTS["usage_late"] = _usage_last("usage_id, usage_date > DATE '2025-06-30', feature_name = 'api'", "2025-06-30")
+ORACLES["late_data_run"] = _sql("""
+SELECT feature_name, CAST(year(usage_date) * 100 + month(usage_date) AS INTEGER) AS month,
+  count(*) AS rows, CAST(sum(usage_count) AS BIGINT) AS uses
+FROM (SELECT * FROM usage_in_two WHERE usage_date > DATE '2025-06-30'
+      UNION ALL SELECT * FROM usage_late WHERE feature_name <> 'api') held
+GROUP BY 1, 2""")
+ORACLES["watermark_replay"] = _sql("""
+SELECT step, count(churn_event_id) AS taken, watermark
+FROM (VALUES ('first', DATE '2023-12-31', DATE '2024-06-30', DATE '2024-06-30'),
+             ('next', DATE '2024-06-30', DATE '2024-12-31', DATE '2024-12-31'),
+             ('earlier date', DATE '2024-12-31', DATE '2024-09-30', DATE '2024-12-31'),
+             ('after reset', DATE '2023-12-31', DATE '2024-09-30', DATE '2024-09-30'),
+             ('after reset of all', DATE '2024-01-01', DATE '2024-03-31', DATE '2024-03-31'))
+  steps(step, after, upto, watermark)
+LEFT JOIN src_churn_events ON churn_date > after AND churn_date <= upto
+GROUP BY step, watermark""")
 
 # --- checks ----------------------------------------------------------------------------------------------------
 

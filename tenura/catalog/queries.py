@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -13,7 +14,7 @@ from tenura import fixed_values as fv
 from tenura.catalog import dirty
 from tenura.functions.dates import month_key
 from tenura.operators import clean, derive, dims, enrich, profile, quality, versioned
-from tenura.operators.watermarks import current_watermarks
+from tenura.operators.watermarks import BEFORE_START, Watermarks, current_watermarks
 from tenura.plans import daily_run, marts
 from tenura.schemas import TABLES
 from tenura.session import configure, cut, scratch_path
@@ -590,6 +591,128 @@ def daily_run_mrr(spark, d):
     return mart.drop("_refreshed_at")
 
 
+# Runs in two steps, up to the end of May and of June 2026.  Several queries read what one run
+# leaves behind, so each kind of run is made once per Spark application and folder of tables.
+FIRST_STEP = date(2026, 5, 31)
+_RUNS: dict[tuple, daily_run.Store] = {}
+
+
+def _new_store(spark, label: str) -> daily_run.Store:
+    folder = scratch_path(spark, label)
+    return daily_run.Store(root=folder, raw_dir=f"{folder}/raw")
+
+
+def _once(kind: str, build):
+    def store(spark, d) -> daily_run.Store:
+        key = (spark.sparkContext.applicationId, d, kind)
+        if key not in _RUNS:
+            _RUNS[key] = build(spark, d)
+        return _RUNS[key]
+
+    return store
+
+
+def _stepwise(modes: daily_run.Modes):
+    def build(spark, d) -> daily_run.Store:
+        store = _new_store(spark, "steps")
+        sources = {n: f(spark, d) for n, f in td.SOURCES.items()}
+        daily_run.backfill(spark, store, date(2026, 5, 2), AS_OF, step_days=30, modes=modes, sources=sources)
+        return store
+
+    return build
+
+
+def _by_month(spark, d) -> daily_run.Store:
+    """All steps up to May; June is loaded, then refreshed by month and by touched accounts."""
+    store = _new_store(spark, "month")
+    sources = {n: f(spark, d) for n, f in td.SOURCES.items()}
+    daily_run.run_day(spark, store, FIRST_STEP, sources=sources)
+    daily_run.ingest_all(spark, store, AS_OF, sources)
+    daily_run.transform_all(spark, store, AS_OF)
+    daily_run.load_all(spark, store, AS_OF)
+    daily_run.refresh_month(spark, store, AS_OF.year, AS_OF.month)
+    daily_run.refresh_health(spark, store, FIRST_STEP, AS_OF)
+    return store
+
+
+# In history scope the last subscription of an untouched account keeps the tail of its own run,
+# so the corrected steps take the tail that does not depend on the day of the run.
+STEPS = {
+    "reference": _once("reference", _stepwise(daily_run.Modes())),
+    "corrected": _once("corrected", _stepwise(replace(daily_run.CORRECTED, tail="reference"))),
+}
+MONTH_STEPS = _once("month", _by_month)
+
+
+def _mart_query(name: str, mart: str, store, text: str) -> None:
+    def read(spark, d):
+        return versioned.VersionedTable(spark, store(spark, d).mart(mart)).read().drop("_refreshed_at")
+
+    read.__name__, read.__doc__ = name, text
+    query(read)
+
+
+for _mode, _store in STEPS.items():
+    for _mart in fv.MART_KEYS:
+        _mart_query(
+            f"daily_run_incremental_{_mart}_{_mode}", _mart, _store,
+            "The mart after two steps of a backfill: built in the first, refreshed in the second.",
+        )
+for _name, _mart in (
+    ("mrr_month_refresh", "mrr_monthly"),
+    ("churn_month_refresh", "churn_summary"),
+    ("usage_month_refresh", "feature_usage_summary"),
+    ("health_window_refresh", "customer_health_score"),
+):
+    _mart_query(_name, _mart, MONTH_STEPS, "The stored mart after a refresh of June alone.")
+
+
+@query
+def backfill_run(spark, d):
+    """Rows per month of every warehouse table that a backfill in two steps leaves behind."""
+    store = STEPS["reference"](spark, d)
+    parts = [
+        daily_run.warehouse(spark, store, t.warehouse_name)
+        .groupBy(month_key(t.event_date).alias("month"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(t.name).alias("table_name"), "month", "rows")
+        for t in TABLES.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def late_data_run(spark, d):
+    """Usage of one feature arrives after the watermark has passed it: what the lake then holds."""
+    table, store, usage = TABLES["feature_usage"], _new_store(spark, "late"), td.feature_usage(spark, d)
+    daily_run.ingest_table(spark, store, table, date(2025, 6, 30), usage.where("feature_name <> 'api'"))
+    daily_run.ingest_table(spark, store, table, date(2025, 12, 31), usage)
+    rows = lake.read_days(spark, store.lake(table.name), table.lake_schema, BEFORE_START, date(2025, 12, 31))
+    return rows.groupBy("feature_name", month_key("usage_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("usage_count").alias("uses")
+    )
+
+
+@query
+def watermark_replay(spark, d):
+    """Rows taken by runs around a reset of one watermark and of all of them."""
+    table, store, churn = TABLES["churn_events"], _new_store(spark, "replay"), td.churn_events(spark, d)
+    state, key, rows = Watermarks(spark, store.watermarks), f"ingestion_{table.name}", []
+
+    def run(step: str, upto: date) -> None:
+        taken = daily_run.ingest_table(spark, store, table, upto, churn)
+        rows.append((step, taken, state.all()[key]))
+
+    run("first", date(2024, 6, 30))
+    run("next", date(2024, 12, 31))
+    run("earlier date", date(2024, 9, 30))
+    state.reset(key)
+    run("after reset", date(2024, 9, 30))
+    state.reset_all()
+    run("after reset of all", date(2024, 3, 31))
+    return spark.createDataFrame(rows, "step string, taken bigint, watermark date")
+
+
 # --- checks and profiles ------------------------------------------------------------------------
 
 

@@ -73,11 +73,13 @@ class Modes:
     unmatched: str = "reference"
     prefilter_starts: bool = True
     collapse: str = "sort_key"
+    denominator: str = "starting"
+    usage_upto_as_of: bool = False
 
 
 CORRECTED = Modes(
     scope="history", tail="as_of", overlap="calendar", spine="calendar",
-    unmatched="nulls", prefilter_starts=False, collapse="pk",
+    unmatched="nulls", prefilter_starts=False, collapse="pk", usage_upto_as_of=True,
 )
 
 
@@ -252,18 +254,9 @@ def refresh_marts(
         for name in ("mrr_monthly", "churn_summary", "feature_usage_summary")
     )
     subs = fact("fact_subscriptions")
-    old_scores, affected, few = targets["customer_health_score"], None, None
-    if old_scores is not None and not old_scores.isEmpty():
-        after = as_of - timedelta(days=2)
-        affected = cut(
-            marts.affected_accounts(
-                fact("fact_subscriptions", after),
-                fact("fact_churn_events", after),
-                fact("fact_support_tickets", after),
-                after,
-            )
-        )
-        few = affected
+    scores, affected = targets["customer_health_score"], None
+    if scores is not None and not scores.isEmpty():
+        affected = _affected(fact, as_of - timedelta(days=2))
     fresh = {
         "mrr_monthly": marts.mrr_monthly(
             subs, fact("fact_churn_events", _first_day(mrr_from)), as_of,
@@ -272,28 +265,86 @@ def refresh_marts(
         ),
         "churn_summary": marts.churn_summary(
             fact("fact_churn_events", _first_day(churn_from)),
-            fact("fact_subscriptions", _first_day(churn_from)),
-            refresh_from=churn_from,
+            fact("fact_subscriptions", _first_day(churn_from)) if modes.denominator == "starting" else subs,
+            refresh_from=churn_from, denominator=modes.denominator, as_of=as_of,
         ),
         "feature_usage_summary": marts.feature_usage_summary(
             fact("fact_feature_usage", _first_day(usage_from)), refresh_from=usage_from
         ),
-        "customer_health_score": marts.health_score(
-            fact("dim_accounts", accounts=few),
-            fact("fact_subscriptions", accounts=few),
-            fact("fact_feature_usage", as_of - timedelta(days=fv.USAGE_WINDOW_DAYS)),
-            fact("fact_churn_events"),
-            fact("fact_support_tickets", accounts=few),
-            as_of, unmatched=modes.unmatched, affected=affected,
+        "customer_health_score": _scores(fact, as_of, modes, affected),
+    }
+    return {
+        name: _publish(
+            tables[name], new, lambda old, new, name=name: delete_insert(old, new, fv.MART_KEYS[name])
+        )
+        for name, new in fresh.items()
+    }
+
+
+def _affected(fact: Callable[..., DataFrame], after: date, upto: date | None = None) -> DataFrame:
+    names = ("fact_subscriptions", "fact_churn_events", "fact_support_tickets")
+    return cut(marts.affected_accounts(*[fact(n, after) for n in names], after, upto))
+
+
+def _scores(
+    fact: Callable[..., DataFrame], as_of: date, modes: Modes, affected: DataFrame | None
+) -> DataFrame:
+    return marts.health_score(
+        fact("dim_accounts", accounts=affected),
+        fact("fact_subscriptions", accounts=affected),
+        fact("fact_feature_usage", as_of - timedelta(days=fv.USAGE_WINDOW_DAYS)),
+        fact("fact_churn_events"),
+        fact("fact_support_tickets", accounts=affected),
+        as_of, unmatched=modes.unmatched, usage_upto_as_of=modes.usage_upto_as_of, affected=affected,
+    )
+
+
+def _publish(
+    table: VersionedTable, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]
+) -> int:
+    """New rows merged into the stored ones, as the next version."""
+    new, stored = cut(marts.with_refresh_time(new)), table.read()
+    return table.publish(new if stored is None else merge(stored, new))
+
+
+def refresh_month(
+    spark: SparkSession, store: Store, year: int, month: int, modes: Modes = Modes()
+) -> dict[str, int]:
+    """Replace one month of the monthly marts by what the warehouse holds; other months stay."""
+    day = date(year, month, 1)
+
+    def fact(name: str, first: date | None = None) -> DataFrame:
+        return warehouse(spark, store, name, modes.collapse, first)
+
+    def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+        others = old.where((F.col("year") != year) | (F.col("month") != month))
+        return others.unionByName(new, allowMissingColumns=True)
+
+    subs, churn = fact("fact_subscriptions"), fact("fact_churn_events", day)
+    fresh = {
+        "mrr_monthly": marts.mrr_one_month(subs, churn, year, month, modes.overlap),
+        "churn_summary": marts.churn_one_month(churn, subs, year, month),
+        "feature_usage_summary": marts.feature_usage_one_month(
+            fact("fact_feature_usage", day), year, month
         ),
     }
-    versions = {}
-    for name, new in fresh.items():
-        new = cut(marts.with_refresh_time(new))
-        target = targets[name]
-        full = new if target is None else delete_insert(target, new, fv.MART_KEYS[name])
-        versions[name] = tables[name].publish(full)
-    return versions
+    return {
+        name: _publish(VersionedTable(spark, store.mart(name)), new, replaced)
+        for name, new in fresh.items()
+    }
+
+
+def refresh_health(
+    spark: SparkSession, store: Store, after: date, upto: date, modes: Modes = Modes()
+) -> dict[str, int]:
+    """Score the accounts with an event after one day and not after another; as of the latter."""
+    def fact(name: str, first: date | None = None, accounts: DataFrame | None = None) -> DataFrame:
+        return warehouse(spark, store, name, modes.collapse, first, accounts)
+
+    name = "customer_health_score"
+    new = _scores(fact, upto, modes, _affected(fact, after, upto))
+    table = VersionedTable(spark, store.mart(name))
+    return {name: _publish(table, new, lambda old, new: delete_insert(old, new, fv.MART_KEYS[name]))}
 
 
 def _each(step: str, tables: Iterable[SourceTable], work: Callable[[SourceTable], int]) -> dict:
