@@ -126,3 +126,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["reset", *where, "--key", "ingestion_accounts"]) == 0
     left = json.loads(capsys.readouterr().out)
     assert "ingestion_accounts" not in left and left["transform_accounts"] == "2024-06-30"
+
+
+def test_single_modes_can_be_chosen():
+    from tenura.__main__ import chosen, parse
+
+    args = ["run", "--root", "r", "--modes", "corrected", "--set", "denominator=active", "--set", "usage_upto_as_of=false"]
+    assert chosen(parse(args)) == replace(CORRECTED, denominator="active", usage_upto_as_of=False)
+    with pytest.raises(SystemExit, match="unknown mode"):
+        chosen(parse(["run", "--root", "r", "--set", "other=1"]))
