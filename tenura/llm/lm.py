@@ -2,21 +2,23 @@
 
 Two matched bigram models, of the target and of the background, share one vocabulary, the ids of
 a public byte-level BPE, so no word is unknown to either.  The target is every document labelled
-as good, the background every document.  Counts of tokens and of pairs of neighbours are
-gathered from all of them: in each task per batch, then summed by Spark.  A pair is counted
-in one of ``2 ** bits`` cells chosen by a hash, so a model has the same size whatever the input (the
-50,257 tokens and the cells, both as 4-byte numbers, are what is sent to the executors).
-A token's probability after another is its pair's count, smoothed towards the token's share by
-``prior`` pseudo-counts; the share itself has one pseudo-count per token.
-
-A document's score is the mean over its tokens of target loss less background loss, in
-bits: the lower, the more it is like the target.
+as good, the background every document.  Every token and every pair of neighbours is counted
+exactly, so the models grow with the corpus and are never held in one place: tokenised documents
+are written in blocks of about ``block_tokens``; each block gives one row per pair, token and its total;
+sums over all blocks go back to the blocks that hold the pair, and each block is scored with the
+part of the models that it needs.  A pair has at most one row per block and file split, so no pair is
+a hot key.
+
+A token's probability after another is their pair's count, smoothed towards the token's share by
+``prior`` pseudo-counts; the share itself has one pseudo-count per token.  A document's score is
+the mean over its tokens of target loss less background loss, in bits: the lower, the more it is
+like the target.
 
 Defined results: a null or empty text has no token, losses and score 0; repeated rows count as
 often as they occur and get equal scores; labels that are null or contradict each other count as
 the largest that is not null; without a target all target probabilities are uniform;
-an empty table gives an empty result.  Only doc_id, text and the labels' doc_id and quality are
-read, so other columns cannot clash.
+an empty table gives an empty result.  A text longer than a block is a block of its own.  Only doc_id,
+text and the labels' doc_id and quality are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.llm.common import ready
@@ -33,105 +36,142 @@ from tenura.llm.tokens import byte_bpe, default_path
 from tenura.session import cut
 
 VOCABULARY = 50_257
-BITS = 18
 PRIOR = 200.0
-FLUSH_TOKENS = 1 << 23
-
-
-def cells(ids: np.ndarray, bits: int) -> np.ndarray:
-    """The cell of each pair of neighbours."""
-    pair = ids[:-1].astype(np.uint64) * np.uint64(VOCABULARY) + ids[1:].astype(np.uint64)
-    return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+BLOCK_TOKENS = 1 << 21
 
+# Keys of counts: a pair is first * VOCABULARY + second, a token -1 - id, all tokens together TOTAL.
+TOTAL = -1 - VOCABULARY
 
-def _gather(path: str, bits: int):
-    size = VOCABULARY + (1 << bits)
-
-    def emit(counts: np.ndarray) -> pa.RecordBatch:
-        at = np.flatnonzero(counts.any(axis=0))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(counts[0, at]), pa.array(counts[1, at])], names=["cell", "target", "background"]
-        )
 
+def _encoded(path: str, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, counts, seen = byte_bpe(path), np.zeros((2, size), np.int64), 0
+        encoder, block, held = byte_bpe(path), TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for text, good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(encoder.encode(text or ""), "<u4")
-                places = np.concatenate([ids.astype(np.int64), VOCABULARY + cells(ids, bits)])
-                np.add.at(counts[1], places, 1)
-                if good:
-                    np.add.at(counts[0], places, 1)
-                seen += len(ids)
-            if seen > FLUSH_TOKENS:
-                yield emit(counts)
-                counts[:], seen = 0, 0
-        yield emit(counts)
+            blocks, out = [], []
+            for text in batch.column(1).to_pylist():
+                ids = encoder.encode(text or "")
+                if held and held + len(ids) // 4 > block_tokens:
+                    block, held = block + 1, 0
+                held += len(ids) // 4
+                blocks.append(block)
+                out.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())  # the vocabulary's ids fit in 16 bits
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), batch.column(0), batch.column(2), pa.array(out, pa.binary())],
+                names=["block", "doc_id", "good", "ids"],
+            )
 
     return run
 
 
-def gathered(docs: DataFrame, labels: DataFrame, path: str, bits: int = BITS) -> DataFrame:
-    """cell, target, background: counts over all documents; cells below VOCABULARY are tokens."""
+def encoded(docs: DataFrame, labels: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """block, doc_id, good, ids of every document, written once, so that blocks stay as they are."""
     good = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     good = good.where("quality > 0").select("doc_id", F.lit(True).alias("good"))
-    flagged = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    parts = flagged.mapInArrow(_gather(path, bits), "cell long, target long, background long")
-    return parts.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-class Models:
-    """Losses in bits of both models; ``counts`` has a row for the target and one for the background."""
-
-    def __init__(self, counts: np.ndarray, bits: int, prior: float) -> None:
-        self.bits, self.prior = bits, prior
-        self.tokens, self.pairs = counts[:, :VOCABULARY].astype(np.float32), counts[:, VOCABULARY:].astype(np.float32)
-        total = self.tokens.sum(axis=1, keepdims=True, dtype=np.float64)
-        self.shares = ((self.tokens + 1) / (total + VOCABULARY)).astype(np.float32)
+    flagged = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left")
+    flagged = flagged.select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
+    return cut(flagged.mapInArrow(_encoded(path, block_tokens), f"block long, doc_id {kind}, good boolean, ids binary"))
+
+
+def places(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the pairs of neighbours, and which ids follow another of their own document."""
+    follows = np.ones(len(ids), bool)
+    follows[starts[starts < len(ids)]] = False
+    at = np.flatnonzero(follows)
+    return ids[at - 1] * VOCABULARY + ids[at], at
+
+
+def tallied(keys: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key, how often it is in good documents and in all."""
+    both, n = np.unique(keys * 2 + good, return_counts=True)  # the last bit tells the good ones apart
+    if not len(both):
+        return both, n, n
+    key, first = np.unique(both >> 1, return_index=True)
+    return key, np.add.reduceat(n * (both & 1), first), np.add.reduceat(n, first)
+
+
+def block_counts(texts: list[bytes], good: list[bool]) -> list[np.ndarray]:
+    """key, target and background counts of some documents of one block."""
+    ids = np.frombuffer(b"".join(texts), "<u2").astype(np.int64)
+    lengths = np.fromiter((len(t) // 2 for t in texts), np.int64, len(texts))
+    flags = np.repeat(np.array(good, bool), lengths)
+    pairs, at = places(ids, np.cumsum(lengths) - lengths)
+    total = tuple(np.array([n], np.int64) for n in (TOTAL, flags.sum(), len(flags)))
+    return [np.concatenate(x) for x in zip(tallied(-1 - ids, flags), tallied(pairs, flags[at]), total, strict=True)]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit() -> pa.RecordBatch:
+        counts = block_counts(ids, good)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(counts[0]), block)), *map(pa.array, counts)], names=["block", "key", "target", "background"]
+        )
 
-    def losses(self, ids: np.ndarray) -> tuple[float, float]:
-        """Mean loss of the ids under the target and under the background."""
-        if not len(ids):
-            return 0.0, 0.0
+    block, ids, good = None, [], []
+    for batch in batches:
+        for b, g, i in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            if b != block:
+                if ids:
+                    yield emit()
+                block, ids, good = b, [], []
+            ids.append(i)
+            good.append(g)
+    if ids:
+        yield emit()
+
+
+def gathered(blocks: DataFrame) -> DataFrame:
+    """block, key, target, background: counts over all documents of every key that the block holds.
+
+    A block that a scan divides has a key twice, with the same counts.
+    """
+    parts = blocks.select("block", "good", "ids").mapInArrow(_counted, "block long, key long, target long, background long")
+    everywhere = Window.partitionBy("key")
+    return parts.select(
+        "block", "key", F.sum("target").over(everywhere).alias("target"), F.sum("background").over(everywhere).alias("background")
+    )
+
+
+def probabilities(
+    key: np.ndarray, counts: np.ndarray, ids: np.ndarray, starts: np.ndarray, prior: float
+) -> np.ndarray:
+    """Probability of each id under one model; the keys are sorted."""
+
+    def of(wanted: np.ndarray) -> np.ndarray:
+        return counts[np.searchsorted(key, wanted)]
+
+    tokens = of(-1 - ids)
+    p = (tokens + 1) / (of(np.array([TOTAL]))[0] + VOCABULARY)
+    pairs, at = places(ids, starts)
+    p[at] = (of(pairs) + prior * p[at]) / (tokens[at - 1] + prior)
+    return p
+
+
+def _losses(prior: float):
+    def run(docs: pa.Table, model: pa.Table) -> pa.Table:
+        key, first = np.unique(model["key"].to_numpy(), return_index=True)
+        texts = docs["ids"].to_pylist()
+        ids = np.frombuffer(b"".join(texts), "<u2").astype(np.int64)
+        lengths = np.fromiter((len(t) // 2 for t in texts), np.int64, len(texts))
+        starts, some = np.cumsum(lengths) - lengths, lengths > 0
         out = []
-        at = cells(ids, self.bits)
-        for pairs, tokens, shares in zip(self.pairs, self.tokens, self.shares, strict=True):
-            p = shares[ids].astype(np.float64)
-            if len(ids) > 1:
-                known = np.minimum(pairs[at], tokens[ids[:-1]])  # pairs that share a cell cannot exceed their first token
-                p[1:] = (known + self.prior * p[1:]) / (tokens[ids[:-1]] + self.prior)
-            out.append(float(-np.log2(p).mean()))
-        return out[0], out[1]
-
-
-def _losses(models, path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, own = byte_bpe(path), Models(*models.value)
-        for batch in batches:
-            ids = [np.frombuffer(encoder.encode(t or ""), "<u4") for t in batch.column(1).to_pylist()]
-            found = [own.losses(i) for i in ids]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss"],
-            )
+        for name in ("target", "background"):
+            loss = np.zeros(len(texts))
+            if len(ids):
+                p = probabilities(key, model[name].to_numpy()[first].astype(np.float64), ids, starts, prior)
+                loss[some] = np.add.reduceat(-np.log2(p), starts[some]) / lengths[some]
+            out.append(pa.array(loss))
+        return pa.table([docs["doc_id"], pa.array(lengths), *out], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
 
     return run
 
 
 def cross_entropy_difference(
-    docs: DataFrame, labels: DataFrame, path: str | None = None, bits: int = BITS, prior: float = PRIOR
+    docs: DataFrame, labels: DataFrame, path: str | None = None, prior: float = PRIOR, block_tokens: int = BLOCK_TOKENS
 ) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score for every document."""
-    spark = ready(docs.sparkSession)
-    path = path or default_path("byte_bpe_50k.json")
-    counts = np.zeros((2, VOCABULARY + (1 << bits)), np.int64)
-    found = cut(gathered(docs, labels, path, bits)).toPandas()  # a row per token and cell at most
-    counts[:, found["cell"]] = found[["target", "background"]].to_numpy().T
-    sent = spark.sparkContext.broadcast((counts, bits, prior))
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_tokens long, target_loss double, background_loss double"
-    scored = docs.select("doc_id", "text").mapInArrow(_losses(sent, path), schema)
-    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    ready(docs.sparkSession)
+    blocks = encoded(docs, labels, path or default_path("byte_bpe_50k.json"), block_tokens)
+    schema = f"doc_id {blocks.schema['doc_id'].dataType.simpleString()}, n_tokens long, target_loss double, background_loss double"
+    own = blocks.select("block", "doc_id", "ids").groupBy("block").cogroup(gathered(blocks).groupBy("block"))
+    return own.applyInArrow(_losses(prior), schema).withColumn("score", F.col("target_loss") - F.col("background_loss"))

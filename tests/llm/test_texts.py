@@ -127,7 +127,8 @@ def test_quality_empty_table(spark, no_docs):
     assert quality.quality(no_docs).collect() == []
 
 
-def test_cross_entropy_equals_brute_force(spark):
+@pytest.mark.parametrize("block_tokens", [1, 5, lm.BLOCK_TOKENS])
+def test_cross_entropy_equals_brute_force(spark, block_tokens):
     docs = spark.createDataFrame(
         [(1, "the cat sat on the mat"), (2, "the dog sat"), (3, None), (4, ""), (4, "buy buy buy ###"), (None, "the cat")],
         "doc_id long, text string",
@@ -153,7 +154,7 @@ def test_cross_entropy_equals_brute_force(spark):
         return float(np.mean(out)) if out else 0.0
 
     every = [r.text or "" for r in docs.collect()]
-    rows = lm.cross_entropy_difference(docs, labels, bits=22, prior=prior).join(
+    rows = lm.cross_entropy_difference(docs, labels, prior=prior, block_tokens=block_tokens).join(
         docs.withColumnRenamed("doc_id", "d").withColumn("text", F.coalesce("text", F.lit(""))),
         F.expr("doc_id <=> d"),
     )
@@ -162,8 +163,8 @@ def test_cross_entropy_equals_brute_force(spark):
         if r.n_tokens != len(ids[r.text]):  # the other text of a repeated id
             continue
         seen += 1
-        assert r.target_loss == pytest.approx(loss(r.text, good), abs=1e-4)
-        assert r.background_loss == pytest.approx(loss(r.text, every), abs=1e-4)
+        assert r.target_loss == pytest.approx(loss(r.text, good), abs=1e-9)
+        assert r.background_loss == pytest.approx(loss(r.text, every), abs=1e-9)
         assert r.score == pytest.approx(r.target_loss - r.background_loss)
     assert seen >= len(every)
 
