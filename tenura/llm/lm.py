@@ -6,8 +6,9 @@ as good, the background every document.  Every token and every pair of neighbour
 exactly, so the models grow with the corpus and are never held in one place: tokenised documents
 are written in blocks of about ``block_tokens``; each block gives one row per pair, token and its total;
 sums over all blocks go back to the blocks that hold the pair, and each block is scored with the
-part of the models that it needs.  A pair has at most one row per block and file split, so no pair is
-a hot key.
+part of the models that it needs.  A pair has at most one row per block, so no pair is a hot key.
+Labels meet the narrow addresses of documents (block, place), and both steps read one shuffle of
+the ids, so texts are never shuffled.
 
 A token's probability after another is their pair's count, smoothed towards the token's share by
 ``prior`` pseudo-counts; the share itself has one pseudo-count per token.  A document's score is
@@ -45,32 +46,30 @@ TOTAL = -1 - VOCABULARY
 
 def _encoded(path: str, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, block, held = byte_bpe(path), TaskContext.get().partitionId() << 32, 0
+        encoder, block, place, held = byte_bpe(path), TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
-            blocks, out = [], []
+            blocks, at, out = [], [], []
             for text in batch.column(1).to_pylist():
-                ids = encoder.encode(text or "")
-                if held and held + len(ids) // 4 > block_tokens:
-                    block, held = block + 1, 0
-                held += len(ids) // 4
+                ids = np.frombuffer(encoder.encode(text or ""), "<u4")
+                if held and held + len(ids) > block_tokens:
+                    block, place, held = block + 1, 0, 0
                 blocks.append(block)
-                out.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())  # the vocabulary's ids fit in 16 bits
+                at.append(place)
+                out.append(ids.astype("<u2").tobytes())  # the vocabulary's ids fit in 16 bits
+                place, held = place + 1, held + len(ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), batch.column(0), batch.column(2), pa.array(out, pa.binary())],
-                names=["block", "doc_id", "good", "ids"],
+                [pa.array(blocks, pa.int64()), pa.array(at, pa.int64()), batch.column(0), pa.array(out, pa.binary())],
+                names=["block", "place", "doc_id", "ids"],
             )
 
     return run
 
 
-def encoded(docs: DataFrame, labels: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """block, doc_id, good, ids of every document, written once, so that blocks stay as they are."""
-    good = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    good = good.where("quality > 0").select("doc_id", F.lit(True).alias("good"))
-    flagged = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left")
-    flagged = flagged.select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
-    kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
-    return cut(flagged.mapInArrow(_encoded(path, block_tokens), f"block long, doc_id {kind}, good boolean, ids binary"))
+def encoded(docs: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """block, place in it, doc_id, ids of every document, written once, so that blocks stay as they are."""
+    rows = docs.select("doc_id", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return cut(rows.mapInArrow(_encoded(path, block_tokens), f"block long, place long, doc_id {kind}, ids binary"))
 
 
 def places(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,42 +89,31 @@ def tallied(keys: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key, np.add.reduceat(n * (both & 1), first), np.add.reduceat(n, first)
 
 
-def block_counts(texts: list[bytes], good: list[bool]) -> list[np.ndarray]:
-    """key, target and background counts of some documents of one block."""
+def block_counts(texts: list[bytes], good: np.ndarray) -> list[np.ndarray]:
+    """key, target and background counts of the documents of one block."""
     ids = np.frombuffer(b"".join(texts), "<u2").astype(np.int64)
     lengths = np.fromiter((len(t) // 2 for t in texts), np.int64, len(texts))
-    flags = np.repeat(np.array(good, bool), lengths)
+    flags = np.repeat(good, lengths)
     pairs, at = places(ids, np.cumsum(lengths) - lengths)
     total = tuple(np.array([n], np.int64) for n in (TOTAL, flags.sum(), len(flags)))
     return [np.concatenate(x) for x in zip(tallied(-1 - ids, flags), tallied(pairs, flags[at]), total, strict=True)]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit() -> pa.RecordBatch:
-        counts = block_counts(ids, good)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(counts[0]), block)), *map(pa.array, counts)], names=["block", "key", "target", "background"]
-        )
-
-    block, ids, good = None, [], []
-    for batch in batches:
-        for b, g, i in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if b != block:
-                if ids:
-                    yield emit()
-                block, ids, good = b, [], []
-            ids.append(i)
-            good.append(g)
-    if ids:
-        yield emit()
-
-
-def gathered(blocks: DataFrame) -> DataFrame:
-    """block, key, target, background: counts over all documents of every key that the block holds.
-
-    A block that a scan divides has a key twice, with the same counts.
-    """
-    parts = blocks.select("block", "good", "ids").mapInArrow(_counted, "block long, key long, target long, background long")
+def _counted(docs: pa.Table, good: pa.Table) -> pa.Table:
+    if not docs.num_rows:
+        return pa.table({name: pa.array([], pa.int64()) for name in ("block", "key", "target", "background")})
+    flags = np.isin(docs["place"].to_numpy(), good["place"].to_numpy())
+    counts = block_counts(docs["ids"].to_pylist(), flags)
+    block = pa.array(np.full(len(counts[0]), docs["block"][0].as_py()), pa.int64())
+    return pa.table([block, *map(pa.array, counts)], names=["block", "key", "target", "background"])
+
+
+def gathered(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """block, key, target, background: counts over all documents of every key that the block holds."""
+    good = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    good = blocks.join(good.where("quality > 0"), "doc_id", "left_semi").select(F.expr("block AS block"), F.expr("place AS place"))
+    parts = blocks.groupBy("block").cogroup(good.groupBy("block"))
+    parts = parts.applyInArrow(_counted, "block long, key long, target long, background long")
     everywhere = Window.partitionBy("key")
     return parts.select(
         "block", "key", F.sum("target").over(everywhere).alias("target"), F.sum("background").over(everywhere).alias("background")
@@ -149,7 +137,8 @@ def probabilities(
 
 def _losses(prior: float):
     def run(docs: pa.Table, model: pa.Table) -> pa.Table:
-        key, first = np.unique(model["key"].to_numpy(), return_index=True)
+        order = np.argsort(model["key"].to_numpy())
+        key = model["key"].to_numpy()[order]
         texts = docs["ids"].to_pylist()
         ids = np.frombuffer(b"".join(texts), "<u2").astype(np.int64)
         lengths = np.fromiter((len(t) // 2 for t in texts), np.int64, len(texts))
@@ -158,7 +147,7 @@ def _losses(prior: float):
         for name in ("target", "background"):
             loss = np.zeros(len(texts))
             if len(ids):
-                p = probabilities(key, model[name].to_numpy()[first].astype(np.float64), ids, starts, prior)
+                p = probabilities(key, model[name].to_numpy()[order].astype(np.float64), ids, starts, prior)
                 loss[some] = np.add.reduceat(-np.log2(p), starts[some]) / lengths[some]
             out.append(pa.array(loss))
         return pa.table([docs["doc_id"], pa.array(lengths), *out], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
@@ -171,7 +160,7 @@ def cross_entropy_difference(
 ) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score for every document."""
     ready(docs.sparkSession)
-    blocks = encoded(docs, labels, path or default_path("byte_bpe_50k.json"), block_tokens)
+    blocks = encoded(docs, path or default_path("byte_bpe_50k.json"), block_tokens)
     schema = f"doc_id {blocks.schema['doc_id'].dataType.simpleString()}, n_tokens long, target_loss double, background_loss double"
-    own = blocks.select("block", "doc_id", "ids").groupBy("block").cogroup(gathered(blocks).groupBy("block"))
-    return own.applyInArrow(_losses(prior), schema).withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    found = blocks.groupBy("block").cogroup(gathered(blocks, labels).groupBy("block")).applyInArrow(_losses(prior), schema)
+    return found.withColumn("score", F.col("target_loss") - F.col("background_loss"))
