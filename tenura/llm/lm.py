@@ -51,6 +51,8 @@ def _encoded(path: str, block_tokens: int):
             blocks, at, out = [], [], []
             for text in batch.column(1).to_pylist():
                 ids = np.frombuffer(encoder.encode(text or ""), "<u4")
+                if len(ids) and ids.max() >= VOCABULARY:
+                    raise ValueError(f"id {ids.max()} is beyond the vocabulary of {VOCABULARY} tokens")
                 if held and held + len(ids) > block_tokens:
                     block, place, held = block + 1, 0, 0
                 blocks.append(block)
