@@ -98,11 +98,19 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
+def _ones(values: np.ndarray) -> np.ndarray:
+    """Bits set in each fingerprint, which is one word or a row of words."""
+    counts = np.bitwise_count(values)
+    return counts if counts.ndim == 1 else counts.sum(axis=1, dtype=np.int64)
+
+
 class GrayIndex:
-    """Fingerprints of one node in Gray order, under levels of shared bits."""
+    """Fingerprints of one node (words, or rows of words) in Gray order, under levels of shared bits."""
 
     def __init__(self, values: np.ndarray) -> None:
-        self.values = values[np.argsort(gray_rank(values), kind="stable")]
+        ranks = gray_rank(values)
+        self.order = np.argsort(ranks, kind="stable") if values.ndim == 1 else np.lexsort(ranks.T[::-1])
+        self.values = values[self.order]
         n = len(self.values)
         size, both, some = LEAF, self.values, self.values
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # (mask of shared bits, their pattern), leaves first
@@ -120,18 +128,18 @@ class GrayIndex:
     def forest(self, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Links that join the components of this node, as places (a, b) in Gray order."""
         v, n = self.values, self.n
-        near = np.bitwise_count(v[1:] ^ v[:-1]) <= most
+        near = _ones(v[1:] ^ v[:-1]) <= most
         at = np.flatnonzero(near)
         found = [(at, at + 1)]
         run = np.concatenate([[0], np.cumsum(~near)])  # runs of linked neighbours are one component already
         parent = np.arange(run[-1] + 1)
         top = len(self.levels) - 1
-        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.uint64))]
+        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros_like(v[:1]))]
         while stack:
             level, i, j, differ, seen = stack.pop()
             mask, pattern = self.levels[level]
             shared = mask[i] & mask[j]
-            differ = differ + np.bitwise_count((pattern[i] ^ pattern[j]) & shared & ~seen)
+            differ = differ + _ones((pattern[i] ^ pattern[j]) & shared & ~seen)
             component = parent[run]
             starts = np.arange(0, n, self.spans[level])
             low, high = np.minimum.reduceat(component, starts), np.maximum.reduceat(component, starts)
@@ -144,7 +152,7 @@ class GrayIndex:
                 child = np.arange(FAN)
                 ci = (i[:, None, None] * FAN + child[None, :, None]).repeat(FAN, axis=2).ravel()
                 cj = (j[:, None, None] * FAN + child[None, None, :]).repeat(FAN, axis=1).ravel()
-                differ, seen = differ.repeat(FAN * FAN), seen.repeat(FAN * FAN)
+                differ, seen = differ.repeat(FAN * FAN), seen.repeat(FAN * FAN, axis=0)
                 count = len(self.levels[level - 1][0])
                 valid = (ci <= cj) & (cj < count) & (ci < count)
                 ci, cj, differ, seen = ci[valid], cj[valid], differ[valid], seen[valid]
@@ -156,7 +164,7 @@ class GrayIndex:
             b = (j[:, None, None] * LEAF + leaf[None, None, :]).repeat(LEAF, axis=1).ravel()
             valid = (a < b) & (b < n)
             a, b = a[valid], b[valid]
-            hit = np.bitwise_count(v[a] ^ v[b]) <= most
+            hit = _ones(v[a] ^ v[b]) <= most
             a, b = a[hit], b[hit]
             ra, rb = component[a], component[b]
             joins = ra != rb
@@ -324,6 +332,11 @@ def near_dedup(docs: DataFrame, width: int = WIDTH, seed: int = SEED, most: int
     """
     rows = addressed(docs)
     groups = labelled(with_fingerprints(rows, width, seed), most).where("root is not null").select("id", "row", "root")
+    return one_of_each(docs, rows, groups)
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``groups`` (id, row, root) that are not the first of their root."""
     groups = cut(groups)
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
     stay = groups.groupBy("root").agg(F.min(rank).alias("best")).select(F.col("best.row").alias("row"))
