@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 
 import corpus_pipeline
-from tenura.llm import near_copies
+from tenura.llm import near_copies, simhash
 from tenura.llm.common import table
 from llm.conftest import DOCS, SMALL
 
@@ -95,3 +95,19 @@ def test_dense_node_gives_forests():
     a, b = near_copies.node_pairs(prints)
     assert 499 <= len(a) <= 5 * 499
     assert (near_copies._apart(prints[a], prints[b]) <= near_copies.MOST).all()
+
+
+def test_close_fingerprints_of_unlike_texts_both_stay(spark):
+    rng = random.Random(8)
+    line = "the same nine words stand in every single line " * 60  # an odd number of shingles: no ties
+    texts = [line + " ".join(words(rng, 12)) for _ in range(2)]
+    assert jaccard(*map(shingles, texts)) < 0.8
+    a, b = (simhash.fingerprint(t.encode()) for t in texts)
+    assert ((a ^ b) % (1 << 64)).bit_count() <= simhash.MOST
+    assert stage(spark, texts) == {0, 1}
+
+
+def test_refused_link_hides_no_other():
+    prints = np.array([[0, 0], [0b1, 0], [0b11, 0]], np.uint64)
+    a, b = near_copies.node_pairs(prints)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(0, 1), (0, 2), (1, 2)}
