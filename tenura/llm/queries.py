@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tenura.llm.alignment import aligned
 from tenura.llm.common import table
 from tenura.llm.exact_dedup import exact_groups
 from tenura.llm.langid import identified
@@ -22,6 +23,7 @@ from tenura.llm.simhash import near_components
 from tenura.llm.toxicity import scored
 from tenura.llm.urls import judge_urls
 from tenura.llm.warc import round_trip
+from tenura.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +71,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -82,6 +92,8 @@ LLM_QUERIES: dict[str, Query] = {
         op8_language_spans,
         op9_warc_round_trip,
         op10_url_filter,
+        op11_whiten_embeddings,
+        op12_align_tokenizers,
     )
 } | {"pipeline": corpus_pipeline.run}
 
