@@ -49,6 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in names]
+
+
 def salted(rows: DataFrame, small: DataFrame, key: str, spread: Column, how: str = "left") -> DataFrame:
     """Join ``small`` (one row per key) to ``rows`` so that no key lands in one task.
 

@@ -1,0 +1,266 @@
+"""Components of near copies, from nodes that hold sets which may be alike, without a pair for each two of a group.
+
+A set has a ``key``, a ``print`` (its fingerprint or signature, by which a distance of two sets is guessed), and stands in
+nodes.  Nodes come in batches.  In each node the nearest pairs of sets that are within the limit and not yet of one
+root become candidates; each is confirmed by the exact sets, and confirmed pairs are contracted to roots, which the
+next batch sees.  So a group of many copies costs a few pairs a set, however many nodes show it.
+
+No candidate is lost: a node in which a set had more candidates than were taken, or that was too large for one task, is
+open and comes again with the new roots.  First one set of each root stands for it, then every pair of parts of the node is
+compared, with more candidates a set each time, until no set has one left that is neither of its own root nor refused.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tenura.llm.common import salted
+from tenura.llm.simhash import components
+from tenura.session import cut
+
+PART_ROWS = 2048  # sets of one part of a node; two parts meet in a task
+SMALL = 8  # nodes of so few sets are compared together
+CHUNK_ROWS = 1 << 15
+CELLS = 1 << 24  # bytes of prints that are compared at once
+LINKS_OF_SET = 64
+TAKEN = (2, 4, 8)  # nearest candidates of a set, by batch
+GROWTH = 8
+Apart = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of prints, rows of bytes whose number is divisible by eight."""
+    a, b = np.ascontiguousarray(a).view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def bytes_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places in which prints differ."""
+    return (a != b).sum(axis=-1, dtype=np.int64)
+
+
+def nearest(prints: np.ndarray, roots: np.ndarray, apart: Apart, most: int, taken: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Places a < b and distances of each set's nearest sets of other roots; whether some set had more."""
+    n, width = prints.shape
+    found, more = [], False
+    step = max(1, CELLS // (n * width))
+    if (roots == roots[0]).all():
+        step = n + 1
+        found.append((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        return *found[0], False
+    for at in range(0, n, step):
+        differ = apart(prints[at : at + step, None, :], prints[None, :, :]).reshape(-1, n)
+        differ = np.where((differ <= most) & (roots[at : at + step, None] != roots[None, :]), differ, most + 1)
+        if n > taken:
+            some = np.argpartition(differ, taken - 1, axis=1)[:, :taken]
+            more |= bool(((differ <= most).sum(axis=1) > taken).any())
+        else:
+            some = np.broadcast_to(np.arange(n), differ.shape)
+        d = np.take_along_axis(differ, some, axis=1)
+        i, k = np.nonzero(d <= most)
+        found.append((i + at, some[i, k], d[i, k]))
+    a, b, d = (np.concatenate(x) for x in zip(*found, strict=True))
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    first = np.unique(low * n + high, return_index=True)[1]
+    return low[first], high[first], d[first], more
+
+
+def _candidates(apart: Apart, most: int, taken: int):
+    def of(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        group, node, key, root, prints = (np.concatenate(c) for c in zip(*held, strict=True))
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        sizes = np.diff(np.append(starts, len(group)))
+        pairs, open_nodes = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], []
+        small = np.repeat(sizes <= SMALL, sizes)
+        at = np.flatnonzero(small)
+        for step in range(1, min(SMALL, len(at))):
+            a, b = at[:-step], at[step:]
+            same = (group[a] == group[b]) & (root[a] != root[b])
+            a, b = a[same], b[same]
+            if len(a):
+                near = apart(prints[a], prints[b]) <= most
+                pairs.append((a[near], b[near]))
+        for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+            a, b, _, more = nearest(prints[start : start + size], root[start : start + size], apart, most, taken)
+            pairs.append((a + start, b + start))
+            if more:
+                open_nodes.append(node[start])
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        nothing = [None] * len(open_nodes)
+        low, high = np.minimum(key[a], key[b]), np.maximum(key[a], key[b])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([*low.tolist(), *nothing], pa.int64()), pa.array([*high.tolist(), *nothing], pa.int64()),
+                pa.array([None] * len(low) + open_nodes, pa.int64()),
+            ],
+            names=["a", "b", "node"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0  # rows come sorted by group: a group ends where the next begins
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
+            prints = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            columns.append(prints)
+            if rows >= CHUNK_ROWS:
+                split = int(np.searchsorted(columns[0], held[-1][0][-1], side="right"))
+                if split < len(columns[0]):
+                    yield of([*held, [c[:split] for c in columns]])
+                    held, rows, columns = [], 0, [c[split:] for c in columns]
+            held.append(columns)
+            rows += len(columns[0])
+        if held:
+            yield of(held)
+
+    return run
+
+
+def _similar(similar: tuple[int, int]):
+    part, whole = similar
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = 0
+                if whole * min(len(x), len(y)) >= part * max(len(x), len(y)):
+                    at = np.searchsorted(y, x)
+                    both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+                near.append(whole * both >= part * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.bool_())], names=["a", "b", "near"])
+
+    return run
+
+
+def _with_set(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
+    """``pairs`` with the shingles of one side; a set of many links is repeated, so that no task has them all."""
+    parts = cut(pairs.groupBy(side).agg(F.ceil(F.count("*") / LINKS_OF_SET).alias("parts")))
+    dealt = salted(pairs, parts, side, F.col(other), "inner").withColumn("part", F.pmod(F.xxhash64(other), "parts"))
+    repeated = sets.withColumnRenamed("key", side).join(parts, side).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
+    shingles = repeated.select(side, "part", F.col("shingles").alias(f"of_{side}"))
+    return dealt.join(shingles, [side, "part"]).drop("part", "parts")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """a, b, near for pairs (a, b) of sets (key, shingles: sorted 64-bit hashes)."""
+    met = _with_set(_with_set(pairs.select("a", "b"), sets, "a", "b"), sets, "b", "a")
+    return met.select("a", "b", "of_a", "of_b").mapInArrow(_similar(similar), "a long, b long, near boolean")
+
+
+class Contraction:
+    """Roots of what has been confirmed so far.
+
+    ``sets_of(keys)`` gives (key, shingles) for a frame of keys; ``apart`` and ``most`` bound the candidates.
+    """
+
+    def __init__(self, sets_of: Callable[[DataFrame], DataFrame], apart: Apart, most: int, similar: tuple[int, int]) -> None:
+        self.sets_of, self.apart, self.most, self.similar = sets_of, apart, most, similar
+        self.roots: DataFrame | None = None  # key, root of every set that has a link
+        self.refused: DataFrame | None = None
+        self.sets: DataFrame | None = None
+
+    def rooted(self, members: DataFrame) -> DataFrame:
+        """``members`` with the root of each key, and whether it has a link at all."""
+        if self.roots is None:
+            return members.withColumn("root", F.col("key")).withColumn("linked", F.lit(False))
+        joined = members.join(self.roots, "key", "left").withColumn("linked", F.col("root").isNotNull())
+        return joined.withColumn("root", F.coalesce("root", "key"))
+
+    def candidates(self, members: DataFrame, taken: int) -> DataFrame:
+        """a, b of candidates, or node of one that is open, of members (group, node, key, root, print)."""
+        columns = members.select("group", "node", "key", "root", "print")
+        run = _candidates(self.apart, self.most, taken)
+        return cut(columns.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long, node long"))
+
+    def confirm(self, found: DataFrame) -> bool:
+        """Confirm the new pairs among ``found`` and contract them; whether there were links."""
+        pairs = found.where("a is not null").select("a", "b").distinct()
+        if self.refused is not None:
+            pairs = pairs.join(self.refused, ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        if pairs.isEmpty():
+            return False
+        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        if self.sets is None:
+            self.sets = cut(self.sets_of(keys))
+        else:
+            new = cut(keys.join(self.sets.select("key"), "key", "left_anti"))
+            if not new.isEmpty():
+                self.sets = self.sets.unionByName(cut(self.sets_of(new)))
+        judged = cut(confirmed(pairs, self.sets, self.similar))
+        refused = judged.where("not near").select("a", "b")
+        self.refused = refused if self.refused is None else self.refused.unionByName(refused)
+        return self.contract(judged.where("near").select("a", "b"))
+
+    def contract(self, links: DataFrame) -> bool:
+        if self.roots is not None:
+            for side, other in (("a", "b"), ("b", "a")):
+                named = self.roots.select(F.col("key").alias(side), "root")
+                links = salted(links, named, side, F.col(other)).withColumn(side, F.coalesce("root", side)).drop("root")
+        moved = cut(components(links.where("a <> b")))
+        if moved.isEmpty():
+            return False
+        new = moved.withColumnRenamed("node", "key")
+        if self.roots is not None:
+            to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+            kept = salted(self.roots, to, "root", F.col("key")).select("key", F.coalesce("to", "root").alias("root"))
+            new = kept.unionByName(new).distinct()
+        self.roots = cut(new)
+        return True
+
+    def batch(self, named: DataFrame, taken: int, counted: DataFrame | None = None) -> None:
+        """Take in nodes (node, key, print): all candidates that they show are confirmed.
+
+        ``counted`` has the same nodes, if they can be counted from less.
+        """
+        parts = large_nodes(named if counted is None else counted)
+        found = self.candidates(self.rooted(in_parts(named, parts)), taken)
+        self.confirm(found)
+        open_nodes = cut(found.where("node is not null").select("node").unionByName(parts.select("node")).distinct())
+        bridged = False
+        while not open_nodes.isEmpty():
+            rest = self.rooted(named.join(open_nodes, "node", "left_semi"))
+            many = rest.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            many = cut(many.where("low < high").select("node"))
+            rest = self.rooted(named.join(many, "node", "left_semi"))
+            if not bridged:  # one set stands for each root of a node
+                one = cut(rest.groupBy("node", "root").agg(F.min(F.struct("key", "print")).alias("one")).select("node", "root", "one.*"))
+                self.confirm(self.candidates(in_parts(one, large_nodes(one)), taken))
+                bridged, open_nodes = True, many
+                continue
+            taken *= GROWTH
+            found = self.candidates(in_part_pairs(rest, parts), taken)
+            self.confirm(found)
+            open_nodes = cut(found.where("node is not null").select("node").distinct())
+
+
+def large_nodes(named: DataFrame) -> DataFrame:
+    """node, parts of the nodes that are too large for one task."""
+    sizes = named.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > PART_ROWS)
+    return cut(sizes.select("node", F.expr(f"(size + {PART_ROWS - 1}) div {PART_ROWS}").alias("parts")))
+
+
+def in_parts(named: DataFrame, parts: DataFrame) -> DataFrame:
+    """``named`` with the group in which a set is compared: its node, or its part of it."""
+    if parts.isEmpty():
+        return named.withColumn("group", F.col("node"))
+    dealt = salted(named, parts, "node", F.col("key"))
+    part = F.expr("CASE WHEN parts IS NULL THEN node ELSE xxhash64(node, pmod(xxhash64(key), parts)) END")
+    return dealt.withColumn("group", part).drop("parts")
+
+
+def in_part_pairs(named: DataFrame, parts: DataFrame) -> DataFrame:
+    """``named`` with every pair of parts to which a set's part belongs as a group."""
+    dealt = salted(named, parts, "node", F.col("key")).withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    paired = dealt.withColumn("part", F.expr("pmod(xxhash64(key), parts)"))
+    paired = paired.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+    group = F.expr("CASE WHEN parts = 1 THEN node ELSE xxhash64(node, least(part, other), greatest(part, other)) END")
+    return paired.withColumn("group", group).drop("parts", "part", "other")

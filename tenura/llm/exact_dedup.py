@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import ROW, SPACES, addressed, salted
+from tenura.llm.common import ROW, SPACES, addressed, quoted, salted
 from tenura.session import cut
 
 MAX_BITS = 1 << 27
@@ -40,7 +40,7 @@ def stripped(text: Column) -> Column:
 def with_hash(rows: DataFrame, carried: list[str]) -> DataFrame:
     """doc (struct of the carried columns), id, n (code points), sha and row of addressed documents."""
     return rows.select(
-        F.struct(*[F.col(c) for c in carried]).alias("doc"),
+        F.struct(*quoted(carried)).alias("doc"),
         F.col("doc_id").alias("id"),
         F.length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n"),
         F.sha2(stripped(F.col("text")).cast("binary"), 256).alias("sha"),

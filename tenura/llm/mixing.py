@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import ROW, SALTS, WORD, addressed, ready
+from tenura.llm.common import ROW, SALTS, WORD, addressed, quoted, ready
 from tenura.session import cut
 
 NODE_ROWS = 512
@@ -138,7 +138,7 @@ def copies(
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     sized = cut(
         docs.select(
-            F.struct(*[F.col(c) for c in carried or ["doc_id"]]).alias("doc"),
+            F.struct(*quoted(carried or ["doc_id"])).alias("doc"),
             F.col("source").cast("string").alias("source"),
             words.alias("size"),
             F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("pick"),
@@ -196,7 +196,7 @@ def mixed(docs: DataFrame, **how: object) -> DataFrame:
     out = copies(rows, carried=[ROW], **how)
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int").alias("times")
     taken = out.select(F.col(f"doc.{ROW}").alias("row"), times).where("times > 0")
-    whole = rows.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(ROW).alias("row"))
+    whole = rows.select(F.struct(*quoted(docs.columns)).alias("doc"), F.col(ROW).alias("row"))
     return whole.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")
 
 

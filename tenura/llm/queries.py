@@ -16,6 +16,7 @@ from tenura.llm.common import table
 from tenura.llm.exact_dedup import exact_groups
 from tenura.llm.langid import identified
 from tenura.llm.lm import cross_entropy_difference
+from tenura.llm.minhash import near_groups
 from tenura.llm.mixing import shares
 from tenura.llm.packing import packed_pieces
 from tenura.llm.quality import quality
@@ -79,6 +80,10 @@ def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned(table(spark, sf_dir, "documents"))
 
 
+def op13_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ LLM_QUERIES: dict[str, Query] = {
         op10_url_filter,
         op11_whiten_embeddings,
         op12_align_tokenizers,
+        op13_minhash_groups,
     )
 } | {"pipeline": corpus_pipeline.run}
 

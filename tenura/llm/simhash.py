@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import ROW, addressed, ready, salted
+from tenura.llm.common import ROW, addressed, quoted, ready, salted
 from tenura.session import cut
 
 WIDTH = 3
@@ -341,5 +341,5 @@ def one_of_each(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
     stay = groups.groupBy("root").agg(F.min(rank).alias("best")).select(F.col("best.row").alias("row"))
     gone = cut(groups.select("row").join(stay, "row", "left_anti"))
-    whole = rows.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(ROW).alias("row"))
+    whole = rows.select(F.struct(*quoted(docs.columns)).alias("doc"), F.col(ROW).alias("row"))
     return whole.join(gone, "row", "left_anti").select("doc.*")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import ready
+from tenura.llm.common import quoted, ready
 from tenura.session import cut
 
 MAX_TRAIN = 20_000
@@ -367,5 +367,5 @@ def scored(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Da
 def without_toxic(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
     model = learn(docs, labels.where(~held_out(F.col("doc_id"))), max_train)
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col("text").alias("text"))
+    whole = docs.select(F.struct(*quoted(docs.columns)).alias("doc"), F.col("text").alias("text"))
     return whole.withColumn("score", scores(F.col("text"), model)).where("score < 0.5").select("doc.*")

@@ -47,7 +47,7 @@ def hard(spark, hard_rows):
 @pytest.fixture(scope="session")
 def clashing(spark, hard):
     """The same with further columns, named like those that operators make."""
-    names = ("doc", "id", "row", "sha", "n", "fp", "size", "pick", "score", "copy", "rank", "component", "__salt")
+    names = ("doc", "id", "row", "sha", "n", "fp", "size", "pick", "score", "copy", "rank", "component", "__salt", "set", "a.b", "a`b")
     from pyspark.sql import functions as F
 
     return hard.select("*", *[F.lit(i).alias(name) for i, name in enumerate(names)])

@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 
 import corpus_pipeline
-from tenura.llm import near_copies, simhash
+from tenura.llm import contraction, near_copies, simhash
 from tenura.llm.common import table
 from llm.conftest import DOCS, SMALL
 
@@ -56,9 +56,9 @@ def test_planted_copies_go(spark):
     assert found[0.8] >= 0.98 and found[0.85] >= 0.99 and found[0.9] == 1.0, found
 
 
-def test_stage_equals_brute_force(spark):
-    rows = table(spark, SMALL, "documents").select("doc_id", "text").collect()
-    sets = {r.doc_id: shingles(r.text) for r in rows}
+def smallest_of_components(texts):
+    """Ids that stay, by the exact similarity of five-word shingles."""
+    sets = {i: shingles(t) for i, t in texts.items()}
     root = {i: i for i in sets}
 
     def find(i):
@@ -71,8 +71,13 @@ def test_stage_equals_brute_force(spark):
             if a < b and jaccard(sets[a], sets[b]) >= 0.8:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
+    return {i for i in root if find(i) == i}
+
+
+def test_stage_equals_brute_force(spark):
+    rows = table(spark, SMALL, "documents").select("doc_id", "text").collect()
     kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, table(spark, SMALL, "documents"), SMALL).collect()}
-    assert kept == {i for i in root if find(i) == i}
+    assert kept == smallest_of_components({r.doc_id: r.text for r in rows})
 
 
 def test_large_group_of_copies_is_one(spark):
@@ -89,14 +94,6 @@ def test_hard_cases(spark, hard, clashing, no_docs):
     assert near_copies.near_copies_dropped(no_docs).collect() == []
 
 
-def test_dense_node_gives_forests():
-    rng = np.random.default_rng(2)
-    prints = np.repeat(rng.integers(0, 1 << 63, (1, 2), dtype=np.uint64), 500, axis=0) ^ (np.uint64(1) << rng.integers(0, 63, (500, 2), dtype=np.uint64))
-    a, b = near_copies.node_pairs(prints)
-    assert 499 <= len(a) <= 5 * 499
-    assert (near_copies._apart(prints[a], prints[b]) <= near_copies.MOST).all()
-
-
 def test_close_fingerprints_of_unlike_texts_both_stay(spark):
     rng = random.Random(8)
     line = "the same nine words stand in every single line " * 60  # an odd number of shingles: no ties
@@ -107,7 +104,59 @@ def test_close_fingerprints_of_unlike_texts_both_stay(spark):
     assert stage(spark, texts) == {0, 1}
 
 
+def counted(spark, texts, monkeypatch):
+    """What stays, and how many pairs were confirmed."""
+    pairs = []
+    whole = contraction.Contraction.confirm
+
+    def noted(self, found):
+        pairs.append(found.where("a is not null").select("a", "b").distinct().count())
+        return whole(self, found)
+
+    monkeypatch.setattr(contraction.Contraction, "confirm", noted)
+    return stage(spark, texts), sum(pairs)
+
+
+def test_large_group_costs_few_pairs_a_set(spark, monkeypatch):
+    rng = random.Random(6)
+    base = words(rng, 200)
+    texts = [" ".join(changed(rng, base, 0.9, 1.0)) for _ in range(600)]
+    kept, pairs = counted(spark, texts, monkeypatch)
+    assert kept == {0} and pairs < 6 * len(texts)
+
+
+def test_dense_node_of_refused_links_hides_none(spark, monkeypatch):
+    """Texts within the bit limit but below the similarity, and true copies far down among their nearest."""
+    rng = random.Random(9)
+    base = words(rng, 150)
+    texts = [" ".join(apart(rng, base)) for _ in range(60)]
+    for i in (7, 23, 41):
+        texts.append(" ".join(changed(rng, texts[i].split(), 0.8, 0.84)))
+    monkeypatch.setattr(near_copies, "TAKEN", (1, 1, 1))
+    assert stage(spark, texts) == smallest_of_components(dict(enumerate(texts)))
+
+
+def apart(rng, base):
+    """A text that shares about four fifths of its words with any other of its kind, but less than 0.8 of its shingles."""
+    copy = list(base)
+    for i in rng.sample(range(len(base)), 4):
+        copy[i] = f"own{rng.randrange(10**9)}"
+    return copy
+
+
+def test_nodes_in_parts_lose_no_link(spark, monkeypatch):
+    rng = random.Random(11)
+    base = words(rng, 150)
+    texts = [" ".join(apart(rng, base)) for _ in range(40)]
+    texts += [" ".join(changed(rng, t.split(), 0.8, 0.9)) for t in texts[::5]]
+    monkeypatch.setattr(contraction, "PART_ROWS", 10)
+    assert stage(spark, texts) == smallest_of_components(dict(enumerate(texts)))
+
+
 def test_refused_link_hides_no_other():
-    prints = np.array([[0, 0], [0b1, 0], [0b11, 0]], np.uint64)
-    a, b = near_copies.node_pairs(prints)
-    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(0, 1), (0, 2), (1, 2)}
+    prints = np.zeros((3, 16), np.uint8)
+    prints[:, 0] = 0, 0b1, 0b11
+    a, b, d, more = contraction.nearest(prints, np.arange(3), contraction.bits_apart, near_copies.MOST, 2)
+    assert list(zip(a.tolist(), b.tolist(), d.tolist(), strict=True)) == [(0, 1, 1), (0, 2, 2), (1, 2, 1)] and not more
+    assert contraction.nearest(prints, np.arange(3), contraction.bits_apart, near_copies.MOST, 1)[3]
+    assert not len(contraction.nearest(prints, np.zeros(3), contraction.bits_apart, near_copies.MOST, 2)[0])
