@@ -2,7 +2,7 @@
 
 A set has a ``key``, a ``print`` (its fingerprint or signature, by which a distance of two sets is guessed), and stands in
 nodes.  Nodes come in batches.  In each node the nearest pairs of sets that are within the limit and not yet of one
-root become candidates; each is confirmed by the exact sets, and confirmed pairs are contracted to roots, which the
+root become candidates, a few for each set and for each two roots; each is confirmed by the exact sets, and confirmed pairs are contracted to roots, which the
 next batch sees.  So a group of many copies costs a few pairs a set, however many nodes show it.
 
 No candidate is lost: a node in which a set had more candidates than were taken, or that was too large for one task, is
@@ -28,7 +28,7 @@ SMALL = 8  # nodes of so few sets are compared together
 CHUNK_ROWS = 1 << 15
 CELLS = 1 << 24  # bytes of prints that are compared at once
 LINKS_OF_SET = 64
-TAKEN = (2, 4, 8)  # nearest candidates of a set, by batch
+TAKEN = (2, 2, 8)  # nearest candidates of a set, by batch
 GROWTH = 8
 Apart = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
@@ -45,7 +45,8 @@ def bytes_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def nearest(prints: np.ndarray, roots: np.ndarray, apart: Apart, most: int, taken: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
-    """Places a < b and distances of each set's nearest sets of other roots; whether some set had more."""
+    """Places a < b and distances of each set's nearest sets of other roots, as many at most of two roots together
+    as of a set; whether there were more."""
     n, width = prints.shape
     found, more = [], False
     step = max(1, CELLS // (n * width))
@@ -67,7 +68,15 @@ def nearest(prints: np.ndarray, roots: np.ndarray, apart: Apart, most: int, take
     a, b, d = (np.concatenate(x) for x in zip(*found, strict=True))
     low, high = np.minimum(a, b), np.maximum(a, b)
     first = np.unique(low * n + high, return_index=True)[1]
-    return low[first], high[first], d[first], more
+    a, b, d = low[first], high[first], d[first]
+    joined = np.minimum(roots[a], roots[b]), np.maximum(roots[a], roots[b])
+    order = np.lexsort((d, joined[1], joined[0]))
+    a, b, d, joined = a[order], b[order], d[order], (joined[0][order], joined[1][order])
+    new = np.concatenate([[True], (joined[0][1:] != joined[0][:-1]) | (joined[1][1:] != joined[1][:-1])])[: len(a)]
+    starts = np.flatnonzero(new)
+    nth = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
+    keep = nth < taken
+    return a[keep], b[keep], d[keep], more or not keep.all()
 
 
 def _candidates(apart: Apart, most: int, taken: int):
