@@ -9,8 +9,8 @@ maximum.  Either agrees in two sets with a chance equal to their similarity, and
 element, their mean varies less than that of two permutations.  A band is ``rows`` minima, and its twin the maxima of the same
 permutations.  ``rows`` grows with the number of documents (unlike sets then seldom meet) and the number of bands with it,
 so that a pair at the threshold shares no band with a chance of 1 in 100 000 at most.  Sets that share a
-band are nodes; in a node pairs whose whole signatures agree in too few places (five standard deviations below
-the threshold) are left out, and all others are confirmed on full sets, or skipped within one root (``contraction``).
+band meet in a node; pairs whose whole signatures agree in too few places (five standard deviations below
+the threshold) are left out there, all others form clusters, and within a cluster all sets are compared in full (``clusters``).
 
 Equal sets, told by a 128-bit hash, are one set throughout.  Shingles are held as 64-bit hashes.
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.common import ROW, addressed, ready, salted
-from tenura.llm.contraction import TAKEN, Contraction, bytes_apart
+from tenura.llm.clusters import alike_groups, bytes_apart, candidate_clusters
 from tenura.llm.simhash import one_of_each, shingle_hashes
 from tenura.session import cut
 
@@ -42,7 +42,6 @@ SIMILAR = (80, 100)
 MISSED = 1e-5  # chance that a pair at the threshold shares no band
 LEAST_ROWS = 5
 DEVIATIONS = 5
-BATCHES = (1, 4)  # bands of the first batches
 CHUNK = 1 << 13  # shingles whose permutations are evaluated at once
 
 
@@ -135,15 +134,16 @@ def _marks(plan: Plan):
 def _sets(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, plan).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["key", "shingles"])
+            sets = [shingle_set(t, plan).tobytes() for t in batch.column(2).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "cluster", "shingles"])
 
     return run
 
 
-def shared_nodes(reps: DataFrame, first: int, stop: int) -> DataFrame:
-    """node, key of the bands from ``first`` to ``stop`` that at least two sets share."""
-    bands = reps.select("key", F.explode(F.slice("nodes", first + 1, stop - first)).alias("node"))
+def shared_nodes(reps: DataFrame) -> DataFrame:
+    """node, key of the bands that at least two sets share."""
+    bands = reps.select("key", F.explode("nodes").alias("node"))
     repeated = bands.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
     return cut(salted(bands, repeated, "node", F.col("key"), "inner").select("node", "key"))
 
@@ -158,20 +158,21 @@ def labelled(docs: DataFrame, rows: DataFrame, similar: tuple[int, int], width:
     marks = cut(narrow.mapInArrow(_marks(plan), schema))
     reps = marks.where("set is not null").groupBy("set").agg(
         F.min("row").alias("row"), F.min("id").alias("first"), F.count("*").alias("n"),
-        F.first("nodes").alias("nodes"), F.first("print").alias("print"),
+        F.first("nodes").alias("nodes"), F.first("print").alias("print"), F.first("n_shingles").alias("n_shingles"),
     )
     reps = cut(reps.withColumn("key", F.monotonically_increasing_id()))
 
-    def sets_of(keys: DataFrame) -> DataFrame:
-        wanted = cut(reps.join(keys, "key", "left_semi").select("row", "key"))
-        return narrow.select("row", "text").join(wanted, "row").select("key", "text").mapInArrow(_sets(plan), "key long, shingles binary")
-
-    found = Contraction(sets_of, bytes_apart, plan.most, similar)
-    ends = [0, *np.minimum(np.cumsum(BATCHES), plan.bands).tolist(), plan.bands]
-    for first, stop, taken in zip(ends, ends[1:], TAKEN, strict=False):
-        shared = shared_nodes(reps, first, stop)
-        found.batch(shared.join(reps.select("key", "print"), "key"), taken, shared)
-    named = cut(found.rooted(reps.select("set", "key", "first", "n")).where("n > 1 or linked").select("set", "root", "first"))
+    def sets_of(clusters: DataFrame) -> DataFrame:
+        wanted = reps.select("row", "key").join(clusters, "key")
+        return narrow.select("row", "text").join(wanted, "row").select("key", "cluster", "text").mapInArrow(
+            _sets(plan), "key long, cluster long, shingles binary"
+        )
+
+    shared = shared_nodes(reps)
+    clusters = candidate_clusters(shared.join(reps.select("key", "print"), "key"), shared, bytes_apart, plan.most)
+    roots = alike_groups(clusters, sets_of, reps.select("key", "n_shingles"), similar)
+    named = reps.select("set", "key", "first", "n").join(roots, "key", "left").where("n > 1 or root is not null")
+    named = cut(named.select("set", F.coalesce("root", "key").alias("root"), "first"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     groups = salted(named, smallest, "root", F.col("set"), "inner").select("set", "root", "component")
     met = salted(marks.select("id", "row", "n_shingles", "set"), groups, "set", F.col("row"))

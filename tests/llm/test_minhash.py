@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 from llm.conftest import SMALL
-from tenura.llm import contraction, minhash
+from tenura.llm import clusters, minhash
 from tenura.llm.common import table
 from tenura.llm.queries import op13_minhash_groups
 
@@ -78,10 +78,11 @@ def test_hard_cases(spark, hard_rows, hard, clashing, no_docs):
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8]
 
 
-@pytest.mark.parametrize("part_rows", [contraction.PART_ROWS, 12])
+@pytest.mark.parametrize("part_rows", [clusters.CLUSTER_ROWS, 12])
 def test_chains_and_dense_families(spark, monkeypatch, part_rows):
     """One large group of copies, a chain of links, and a family whose members are just too far apart."""
-    monkeypatch.setattr(contraction, "PART_ROWS", part_rows)
+    monkeypatch.setattr(clusters, "CLUSTER_ROWS", part_rows)
+    monkeypatch.setattr(clusters, "NODE_ROWS", part_rows)
     rng = random.Random(7)
     base = [f"b{rng.randrange(5000)}" for _ in range(120)]
     texts = [" ".join(changed(rng, base, 2)) for _ in range(60)]

@@ -6,9 +6,10 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
-from tenura.llm import contraction, near_copies, simhash
+from tenura.llm import clusters, near_copies, simhash
 from tenura.llm.common import table
 from llm.conftest import DOCS, SMALL
 
@@ -104,35 +105,24 @@ def test_close_fingerprints_of_unlike_texts_both_stay(spark):
     assert stage(spark, texts) == {0, 1}
 
 
-def counted(spark, texts, monkeypatch):
-    """What stays, and how many pairs were confirmed."""
-    pairs = []
-    whole = contraction.Contraction.confirm
+def test_large_group_costs_a_row_a_set_and_node():
+    rng = np.random.default_rng(6)
+    prints = np.repeat(rng.integers(0, 256, (1, 16), dtype=np.uint8), 4000, axis=0)
+    prints[np.arange(4000), rng.integers(0, 16, 4000)] ^= np.uint8(1)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(4000, np.int64)), pa.array(np.arange(4000)), pa.array([p.tobytes() for p in prints])], names=["group", "key", "print"]
+    )
+    out = list(clusters._candidates(clusters.bits_apart, near_copies.MOST)(iter([batch])))
+    assert sum(o.num_rows for o in out) == 3999
 
-    def noted(self, found):
-        pairs.append(found.where("a is not null").select("a", "b").distinct().count())
-        return whole(self, found)
 
-    monkeypatch.setattr(contraction.Contraction, "confirm", noted)
-    return stage(spark, texts), sum(pairs)
-
-
-def test_large_group_costs_few_pairs_a_set(spark, monkeypatch):
-    rng = random.Random(6)
-    base = words(rng, 200)
-    texts = [" ".join(changed(rng, base, 0.9, 1.0)) for _ in range(600)]
-    kept, pairs = counted(spark, texts, monkeypatch)
-    assert kept == {0} and pairs < 6 * len(texts)
-
-
-def test_dense_node_of_refused_links_hides_none(spark, monkeypatch):
+def test_dense_node_of_refused_links_hides_none(spark):
     """Texts within the bit limit but below the similarity, and true copies far down among their nearest."""
     rng = random.Random(9)
     base = words(rng, 150)
     texts = [" ".join(apart(rng, base)) for _ in range(60)]
     for i in (7, 23, 41):
         texts.append(" ".join(changed(rng, texts[i].split(), 0.8, 0.84)))
-    monkeypatch.setattr(near_copies, "TAKEN", (1, 1, 1))
     assert stage(spark, texts) == smallest_of_components(dict(enumerate(texts)))
 
 
@@ -149,14 +139,28 @@ def test_nodes_in_parts_lose_no_link(spark, monkeypatch):
     base = words(rng, 150)
     texts = [" ".join(apart(rng, base)) for _ in range(40)]
     texts += [" ".join(changed(rng, t.split(), 0.8, 0.9)) for t in texts[::5]]
-    monkeypatch.setattr(contraction, "PART_ROWS", 10)
+    monkeypatch.setattr(clusters, "NODE_ROWS", 10)
+    monkeypatch.setattr(clusters, "CLUSTER_ROWS", 7)
     assert stage(spark, texts) == smallest_of_components(dict(enumerate(texts)))
 
 
-def test_refused_link_hides_no_other():
-    prints = np.zeros((3, 16), np.uint8)
-    prints[:, 0] = 0, 0b1, 0b11
-    a, b, d, more = contraction.nearest(prints, np.arange(3), contraction.bits_apart, near_copies.MOST, 2)
-    assert list(zip(a.tolist(), b.tolist(), d.tolist(), strict=True)) == [(0, 1, 1), (0, 2, 2), (1, 2, 1)] and not more
-    assert contraction.nearest(prints, np.arange(3), contraction.bits_apart, near_copies.MOST, 1)[3]
-    assert not len(contraction.nearest(prints, np.zeros(3), contraction.bits_apart, near_copies.MOST, 2)[0])
+def test_matrix_of_alike_sets_is_exact():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[: rng.integers(200, 300)], rng.integers(0, 1 << 63, rng.integers(0, 60), dtype=np.uint64)])) for _ in range(40)]
+    sets.append(np.zeros(0, np.uint64))
+    exact = np.array([[5 * len(set(x) & set(y)) >= 4 * len(set(x) | set(y)) if len(x) and len(y) else False for y in sets] for x in map(list, sets)])
+    whole = clusters.alike(sets, np.zeros(41, np.int64), (4, 5))
+    assert (whole | np.eye(41, dtype=bool) == exact | np.eye(41, dtype=bool)).all()
+    side = np.arange(41) % 2
+    across = clusters.alike(sets, side, (4, 5))
+    assert (across == (exact & (side[:, None] != side[None, :]))).all()
+    few = clusters.alike(sets[:5], np.zeros(5, np.int64), (4, 5))
+    assert (np.triu(few, 1) == np.triu(exact[:5, :5], 1)).all()
+
+
+def test_walk_reaches_chains():
+    places = np.array([0, 1, 5, 2, 9, 6, 3])
+    near = lambda now, others: np.abs(places[now][:, None] - places[others][None, :]) <= 1
+    for step in (1, 10):
+        assert clusters.reached(7, near, step).tolist() == [0, 0, 2, 0, 4, 2, 0]
