@@ -99,44 +99,59 @@ def local_search(lengths: np.ndarray, bins: list[list[int]], room: int) -> list[
 
     Each step puts more tokens into a fuller bin, which raises the sum of squared fills; a
     bin that no step changes is left alone, and the search ends when as few bins remain as
-    the tokens need or none can be changed.
+    the tokens need or none can be changed.  The free rooms in order, and for each length the most that a
+    piece of it can be exchanged for, answer all moves and all exchanges of a bin at once.
     """
+    items = [list(own) for own in bins]
     bin_of, fill = np.zeros(len(lengths), np.int64), np.zeros(len(bins), np.int64)
-    for b, items in enumerate(bins):
-        bin_of[items], fill[b] = b, lengths[items].sum()
+    for b, own in enumerate(items):
+        bin_of[own], fill[b] = b, lengths[own].sum()
     needed = max(-(-int(lengths.sum()) // room), int((2 * lengths > room).sum()))
     alive = int((fill > 0).sum())
-    stuck = np.zeros(len(bins), bool)
-    while alive > needed and not stuck[fill > 0].all():
-        low = int(np.argmin(np.where(stuck | (fill == 0), room + 1, fill)))
-        own = np.flatnonzero(bin_of == low)
+    stuck = fill == 0
+    while alive > needed and not stuck.all():
+        low = int(np.argmin(np.where(stuck, room + 1, fill)))
+        free = np.where(fill >= fill[low], room - fill, 0)
+        free[low] = 0
+        rooms = np.sort(free[free > 0])
+        reach = np.zeros(room + 1, np.int64)
+        np.maximum.at(reach, lengths, np.where(free[bin_of] > 0, free[bin_of] + lengths, 0))
+        reach = np.maximum.accumulate(reach)  # of the pieces up to a length
+        own = np.array(items[low])
         x, y = np.triu_indices(len(own), 1)
-        free = np.where((fill < room) & (fill >= fill[low]) & (np.arange(len(fill)) != low), room - fill, -1)
         step = None
         for out in (own[:, None], np.stack([own[x], own[y]], axis=1)):  # one piece, then two
+            if not len(out):
+                continue
             size = lengths[out].sum(axis=1)
-            spare = free[None, :] - size[:, None]
-            best = int(np.argmin(np.where(spare < 0, room + 1, spare))) if spare.size else 0
-            if spare.size and spare.flat[best] >= 0:  # a move, to where the least room is left
-                step = out[best // len(free)], best % len(free), None
+            at = np.searchsorted(rooms, size)
+            if at.min() < len(rooms):  # a move, to where the least room is left
+                spare = np.where(at < len(rooms), rooms[np.minimum(at, len(rooms) - 1)] - size, room + 1)
+                best = int(np.argmin(spare))
+                step = out[best], int(np.argmax(free == size[best] + spare[best])), None
                 break
-            gain = size[:, None] - lengths[None, :]
-            gain = np.where((gain > 0) & (gain <= free[bin_of][None, :]), gain, 0)
-            best = int(np.argmax(gain)) if gain.size else 0
-            if gain.size and gain.flat[best]:  # an exchange, by as many tokens as fit
-                back = best % len(lengths)
-                step = out[best // len(lengths)], int(bin_of[back]), back
+            back = np.searchsorted(reach, size)  # the shortest piece whose bin can take the difference
+            gain = np.where(back < size, size - back, 0)
+            best = int(np.argmax(gain))
+            if gain[best]:  # an exchange, by as many tokens as fit
+                piece = int(np.argmax((lengths == back[best]) & (free[bin_of] >= gain[best])))
+                step = out[best], int(bin_of[piece]), piece
                 break
         if step is None:
             stuck[low] = True
             continue
         gone, target, back = step
         moved = int(lengths[gone].sum()) - (0 if back is None else int(lengths[back]))
+        for piece in gone.tolist():
+            items[low].remove(piece)
+            items[target].append(piece)
         bin_of[gone] = target
         if back is not None:
+            items[target].remove(back)
+            items[low].append(back)
             bin_of[back] = low
         fill[low], fill[target] = fill[low] - moved, fill[target] + moved
-        stuck[:] = False
+        stuck = fill == 0
         alive -= int(fill[low] == 0)
     order = np.argsort(bin_of, kind="stable")
     return [part.tolist() for part in np.split(order, np.flatnonzero(np.diff(bin_of[order])) + 1) if len(part)]
