@@ -178,6 +178,7 @@ FROM {source} WHERE {where} GROUP BY 1, 2, 3"""
 
 PARTS["mart_usage"] = _usage("src_feature_usage")
 ORACLES["feature_usage_summary"] = _sql("SELECT * FROM mart_usage")
+ORACLES["feature_usage_from_state"] = ORACLES["feature_usage_summary"]
 ORACLES["feature_usage_one_month"] = _sql(
     "SELECT * FROM mart_usage WHERE year = 2025 AND month = 3"
 )
@@ -294,6 +295,7 @@ ORACLES["mrr_monthly_refresh_reference"] = _sql(
 ORACLES["mrr_monthly_refresh_corrected"] = _sql(
     _revenue("calendar_months", by_calendar=True, keep="nth >= 12 * 2026")
 )
+ORACLES["mrr_monthly_sweep"] = ORACLES["mrr_monthly_calendar"]
 ORACLES["mrr_one_month"] = _sql(_revenue("calendar_months", keep="nth = 12 * 2025 + 2"))
 
 # --- health mart ---------------------------------------------------------------------------------
@@ -586,6 +588,28 @@ ORACLES["ingest_stream_usage"] = _sql("""
 SELECT CAST(year(usage_date) * 100 + month(usage_date) AS INTEGER) AS month, feature_name,
   count(*) AS rows, CAST(sum(usage_count) AS BIGINT) AS uses
 FROM usage_last GROUP BY 1, 2""")
+PARTS["usage_merged"] = """
+SELECT usage_id, usage_date, feature_name, usage_count
+FROM (SELECT *, row_number() OVER (PARTITION BY usage_id ORDER BY usage_date DESC, arrival DESC,
+        subscription_id DESC, feature_name DESC, usage_count DESC, usage_duration_secs DESC,
+        error_count DESC, is_beta_feature DESC) AS rn
+      FROM (SELECT * REPLACE (CAST(1 AS BIGINT) AS usage_count), 0 AS arrival FROM src_feature_usage
+            WHERE usage_date <= DATE '2025-12-31'
+            UNION ALL
+            SELECT *, 1 AS arrival FROM src_feature_usage
+            WHERE usage_date > (SELECT max(usage_date) - 30 FROM src_feature_usage
+                                WHERE usage_date <= DATE '2025-12-31')) arrived) r
+WHERE rn = 1"""
+ORACLES["stream_upsert_usage"] = _sql("""
+SELECT CAST(year(usage_date) * 100 + month(usage_date) AS INTEGER) AS month, feature_name,
+  count(*) AS rows, CAST(sum(usage_count) AS BIGINT) AS uses
+FROM usage_merged GROUP BY 1, 2""")
+ORACLES["csv_records_in_parts"] = _sql("""
+SELECT churn_event_id, account_id, churn_date,
+  CASE WHEN right(churn_event_id, 1) < '3'
+    THEN reason_code || ' said "no",' || chr(10) || churn_event_id || chr(10) || chr(10) || 'and left'
+    ELSE reason_code END AS feedback_text
+FROM src_churn_events""")
 # A run takes in rows dated up to its batch date, so its marts are those of these rows.
 for _run, _day in (("early", "2026-05-31"), ("run", "2026-06-30")):
     for _table, _column in (
@@ -644,15 +668,15 @@ ORACLES["daily_run_incremental_customer_health_score_reference"] = _sql(
 ORACLES["daily_run_incremental_customer_health_score_corrected"] = _sql(
     _scores_over("run_facts", False, "day > DATE '2026-06-28'")
 )
-for _mode in ("reference", "corrected"):
-    ORACLES[f"daily_run_incremental_churn_summary_{_mode}"] = _sql(
-        _churn_rate("run_starting", "run_churn_groups")
-    )
+for _mode in ("incremental_churn_summary_reference", "incremental_churn_summary_corrected", "corrected_steps_churn_summary"):
+    ORACLES[f"daily_run_{_mode}"] = _sql(_churn_rate("run_starting", "run_churn_groups"))
 ORACLES["daily_run_incremental_feature_usage_summary_reference"] = _sql(_usage("step_feature_usage"))
 ORACLES["daily_run_incremental_feature_usage_summary_corrected"] = _sql(_over(
     _usage("early_feature_usage"), _usage("run_feature_usage", "usage_date >= DATE '2026-05-01'"),
     "year, month, feature_name",
 ))
+for _mart in ("mrr_monthly", "feature_usage_summary"):
+    ORACLES[f"daily_run_corrected_steps_{_mart}"] = ORACLES[f"daily_run_incremental_{_mart}_corrected"]
 ORACLES["mrr_month_refresh"] = _sql(_over(
     _EARLY_REVENUE,
     _revenue("calendar_months", keep="nth = 12 * 2026 + 5", facts="step_facts", churn="run_churn_events"),
@@ -670,6 +694,32 @@ ORACLES["usage_month_refresh"] = _sql(_usage("step_feature_usage"))
 ORACLES["health_window_refresh"] = _sql(
     _scores_over("step_facts", True, "day > DATE '2026-05-31' AND day <= DATE '2026-06-30'")
 )
+PARTS["run_facts_asof"] = _lifecycle("account_id", _AS_OF_TAIL, "run_subscriptions")
+PARTS["run_facts_later"] = _lifecycle(
+    "account_id", _AS_OF_TAIL.replace("2026-06-30", "2026-08-14"), "run_subscriptions"
+)
+ORACLES["daily_run_corrected_steps_customer_health_score"] = _sql(
+    _health("run_facts_asof", zeroes=False, usage_upto="2026-06-30", **_tables("run"))
+)
+ORACLES["account_scores_later"] = _sql(
+    _health("run_facts_later", zeroes=False, usage_upto="2026-08-14", as_of="2026-08-14", **_tables("run"))
+)
+ORACLES["changed_accounts_feed"] = _sql("""
+SELECT DISTINCT account_id
+FROM (SELECT account_id, start_date AS day FROM run_subscriptions
+      UNION ALL SELECT account_id, churn_date FROM run_churn_events
+      UNION ALL SELECT account_id, CAST(submitted_at AS DATE) FROM run_support_tickets
+      UNION ALL SELECT account_id, signup_date FROM run_accounts
+      UNION ALL SELECT account_id, usage_date FROM run_feature_usage JOIN run_subscriptions USING (subscription_id)
+     ) moves
+WHERE day > DATE '2026-05-31'""")
+ORACLES["pk_rows_from_month"] = _sql("\nUNION ALL ".join(
+    f"SELECT '{t.split('_', 1)[1]}' AS table_name, CAST(year({c}) * 100 + month({c}) AS INTEGER) AS month, "
+    f"count(*) AS rows FROM {t} WHERE {c} >= DATE '2026-06-01' GROUP BY 2"
+    for t, c in (("run_subscriptions", "start_date"), ("run_churn_events", "churn_date"),
+                 ("run_accounts", "signup_date"), ("run_feature_usage", "usage_date"),
+                 ("run_support_tickets", "submitted_at"))
+))
 ORACLES["backfill_run"] = _sql("\nUNION ALL ".join(
     f"SELECT '{t.split('_', 1)[1]}' AS table_name, CAST(year({c}) * 100 + month({c}) AS INTEGER) AS month, "
     f"count(*) AS rows FROM {t} GROUP BY 2"

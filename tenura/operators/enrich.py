@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura import fixed_values as fv
@@ -41,6 +41,7 @@ def enrich_subscriptions(
     as_of: date | None = None,
     scope: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    interval: bool = False,
 ) -> DataFrame:
     """Sequence, gaps, churn, reactivation, days active and revenue per subscription.
 
@@ -48,12 +49,16 @@ def enrich_subscriptions(
     calls it churned, ``as_of`` only once it has been over for more than the gap at that
     date.  ``scope`` adds columns that the sequence restarts on, e.g. an ingest batch.
 
+    ``interval`` keeps the next start and the end with its time of day, so that ``churned_on`` can
+    judge a last subscription again on any later day.
+
     Ends keep their time of day until the gaps are taken, since gaps are whole elapsed
     days, not calendar days.
     """
     typed = df.withColumns(
         {"start_date": _instant(df, "start_date"), "end_date": _instant(df, "end_date")}
     )
+    kept = {"next_start_at": F.col("_next_start"), "ended_at": F.col("end_date")} if interval else {}
     placed = with_neighbours(
         typed,
         ["account_id", *scope],
@@ -72,7 +77,8 @@ def enrich_subscriptions(
         churned = gap_to_next.isNull() | (gap_to_next > fv.CHURN_GAP_DAYS)
     monthly = money(non_negative(F.col("mrr_amount")))
     return placed.withColumns(
-        {
+        kept
+        | {
             "churn_flag": churned,
             "reactivation_flag": truthy(gap_from_prev > fv.REACTIVATION_GAP_DAYS),
             "days_active": non_negative(whole_days(F.col("end_date"), F.col("start_date"))).cast("int"),
@@ -84,6 +90,15 @@ def enrich_subscriptions(
     ).drop("_next_start", "_prev_end")
 
 
+def churned_on(day: date) -> Column:
+    """Whether a subscription was followed by too long a gap, seen on a day: valid-time bounds
+    (``next_start_at``, ``ended_at``) decide, not the day on which the row was written."""
+    gap = F.coalesce(
+        whole_days(F.col("next_start_at"), F.col("ended_at")), whole_days(F.lit(day), F.col("ended_at"))
+    )
+    return truthy(gap > fv.CHURN_GAP_DAYS)
+
+
 def enrich_churn_events(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {

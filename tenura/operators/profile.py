@@ -33,20 +33,20 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
     """Type, number of distinct values and a few values of each column.
 
     Up to five values are all listed; of more, the first four in text order, so that the
-    profile of the same data is always the same.
+    profile of the same data is always the same.  Counts and first values ask for the same cells, counted
+    in the same way, so that Spark shuffles them once for both.
     """
     values = distinct_values(df, df.columns)
     counted = values.groupBy("column_name").agg(
         F.count("value").alias("n_unique"),
         F.sum(F.when(F.col("value").isNotNull(), F.col("rows")).otherwise(0)).alias("non_null"),
     )
-    in_order = Window.partitionBy("column_name").orderBy("value")
+    in_order = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last(), "rows")
     first_few = (
-        values.where(F.col("value").isNotNull())
-        .withColumn("_rank", F.row_number().over(in_order))
+        values.withColumn("_rank", F.row_number().over(in_order))
         .where(F.col("_rank") <= ALL_VALUES_UPTO)
         .groupBy("column_name")
-        .agg(F.array_sort(F.collect_list("value")).alias("_few"))
+        .agg(F.array_sort(F.collect_list("value")).alias("_few"))  # which leaves NULL out
     )
     types = F.create_map(*[F.lit(x) for name_type in df.dtypes for x in name_type])
     shown = F.when(F.col("n_unique") <= ALL_VALUES_UPTO, F.col("_few")).otherwise(

@@ -9,9 +9,10 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tenura import fixed_values as fv
@@ -22,13 +23,14 @@ from tenura.operators.clean import (
 from tenura.operators.dims import dim_plans
 from tenura.operators.enrich import ENRICHERS
 from tenura.operators.versioned import (
-    VersionedTable, delete_insert, latest_version, with_version,
+    VersionedTable, delete_insert, latest_version, numbers_of_folders, with_version,
 )
-from tenura.operators.watermarks import BEFORE_START, Watermarks
-from tenura.plans import marts
+from tenura.operators.watermarks import BEFORE_START, Commit, Watermarks
+from tenura.plans import health_state, marts
 from tenura.schemas import TABLES, WAREHOUSE, SourceTable
 from tenura.session import cut
 from tenura.sources.csv import read_raw
+from tenura.sources.key_index import KeyIndex
 from tenura.sources.lake import append_months, read_days, read_months, write_days
 
 log = logging.getLogger(__name__)
@@ -54,6 +56,9 @@ class Store:
     def warehouse(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
 
+    def key_index(self, table: str) -> str:
+        return f"{self.root}/index/{table}"
+
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
@@ -75,11 +80,13 @@ class Modes:
     collapse: str = "sort_key"
     denominator: str = "starting"
     usage_upto_as_of: bool = False
+    health: str = "window"
 
 
 CORRECTED = Modes(
     scope="history", tail="as_of", overlap="calendar", spine="calendar",
     unmatched="nulls", prefilter_starts=False, collapse="pk", usage_upto_as_of=True,
+    health="changes",
 )
 
 
@@ -87,22 +94,26 @@ def _now() -> str:
     return datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
 
 
-def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and count in the same pass.
+def observed(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict:
+    """Write, and count ``rows`` and take further metrics in the same pass.
 
     When adaptive execution finds the input empty it drops the rest of the plan, the
     counter with it, and the finished write reports no count; any other failure is raised.
     """
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]))
     try:
-        return seen.get["rows"]
+        return seen.get
     except Py4JJavaError:
         if df.isEmpty():
-            return 0
+            return {"rows": 0} | dict.fromkeys(metrics)
         raise
 
 
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    return observed(df, write)["rows"]
+
+
 def ingest_table(
     spark: SparkSession, store: Store, table: SourceTable, batch_date: date,
     raw: DataFrame | None = None,
@@ -123,6 +134,27 @@ def ingest_table(
     return written
 
 
+def _append(
+    df: DataFrame, folder: str, table: SourceTable, state: Watermarks, key: str, day: date,
+    *, even_if_empty: bool = False, also: Callable[[DataFrame, str], None] | None = None,
+) -> int:
+    """Rows into a folder of their own, then watermark and folder into the control table at once.
+
+    ``also`` writes what goes with the rows, from the rows as written, before they become visible.
+    """
+    spark, commit = df.sparkSession, uuid.uuid4().hex
+    path = f"{folder}/commit={commit}"
+    written = _counted(df, lambda rows: append_months(rows, path, table.event_date, table.sort_key))
+    if not written:
+        if even_if_empty:
+            state.set(key, day)
+        return 0
+    if also is not None:
+        also(read_months(spark, path, df.schema), commit)
+    state.set(key, day, commit, numbers_of_folders(spark, path, "_month"))
+    return written
+
+
 def transform_table(
     spark: SparkSession, store: Store, table: SourceTable, batch_date: date, modes: Modes = Modes()
 ) -> int:
@@ -140,7 +172,7 @@ def transform_table(
     order = [table.event_date, "_ingestion_time"]
     extra = {}
     if table.name == "subscriptions":
-        extra = {"tail": modes.tail, "as_of": batch_date}
+        extra = {"tail": modes.tail, "as_of": batch_date, "interval": True}
         if modes.scope == "history":
             touched = new.select("account_id").distinct()
             everything = read_days(spark, lake, table.lake_schema, BEFORE_START, batch_date)
@@ -148,18 +180,13 @@ def transform_table(
                 "_ingestion_time", F.lit(_now())
             )
     unique = keep_last(new, [table.key], order)
-    rows = align(ENRICHERS[table.name](unique, **extra), table.staging_schema)
-    written = _counted(
-        rows,
-        lambda df: append_months(df, store.staging(table.name), table.event_date, table.sort_key),
-    )
-    if written:
-        state.set(key, batch_date)
-    return written
+    rows = align(ENRICHERS[table.name](unique, **extra), table.kept_schema)
+    return _append(rows, store.staging(table.name), table, state, key, batch_date)
 
 
 def staged(spark: SparkSession, store: Store, table: SourceTable, first=None, last=None) -> DataFrame:
-    return read_months(spark, store.staging(table.name), table.staging_schema, first, last)
+    commits = Watermarks(spark, store.watermarks).commits(f"transform_{table.name}")
+    return read_months(spark, store.staging(table.name), table.kept_schema, first, last, commits)
 
 
 def check_batch(spark: SparkSession, store: Store, batch_date: date) -> DataFrame:
@@ -191,15 +218,22 @@ def load_table(
         known = known.where(F.col(table.event_date) <= F.lit(load_date))
         rows = known.join(touched, "account_id", "left_semi")
     unique = keep_last(rows, _collapse_key(table, modes.collapse), ["_ingestion_time"])
-    versioned = align(with_version(unique, time.time_ns() // 1_000_000), table.warehouse_schema)
-    written = _counted(
-        versioned,
-        lambda df: append_months(
-            df, store.warehouse(table.warehouse_name), table.event_date, table.sort_key
-        ),
+    versioned = align(with_version(unique, time.time_ns() // 1_000_000), table.stored_schema)
+    index = key_index(spark, store, table)
+    return _append(
+        versioned, store.warehouse(table.warehouse_name), table, state, key, load_date,
+        even_if_empty=True, also=index.add,
     )
-    state.set(key, load_date)
-    return written
+
+
+def loads(spark: SparkSession, store: Store, name: str) -> list[Commit]:
+    """Commits of a warehouse table, oldest first."""
+    return Watermarks(spark, store.watermarks).commits(f"warehouse_{name}")
+
+
+def key_index(spark: SparkSession, store: Store, table: SourceTable) -> KeyIndex:
+    name = table.warehouse_name
+    return KeyIndex(spark, store.key_index(name), table, loads(spark, store, name))
 
 
 def _collapse_key(table: SourceTable, collapse: str) -> tuple[str, ...]:
@@ -213,24 +247,41 @@ def warehouse(
     collapse: str = "sort_key",
     first: date | None = None,
     accounts: DataFrame | None = None,
+    subscriptions: DataFrame | None = None,
 ) -> DataFrame:
-    """Current rows of a warehouse table, from the month of ``first`` on, of some accounts.
+    """Current rows of a warehouse table, from the month of ``first`` on, of some accounts or subscriptions.
 
     Months and accounts are left out before versions are collapsed, which is exact where
     the event date or the account is part of the collapse key: all versions of a row then
-    agree in it.  For other keys everything is read.
+    agree in it.  For other keys the index of keys names the months that hold any version of the rows
+    asked for; only those are read, and rows that turn out to lie outside are left out afterwards.
     """
     if name == "dim_plans":
         return dim_plans(spark)
     table = WAREHOUSE[name]
     key = _collapse_key(table, collapse)
+    commits = loads(spark, store, name)
+    wanted = {"account_id": accounts, "subscription_id": subscriptions}
+    wanted = {c: df for c, df in wanted.items() if df is not None and c in table.sort_key}
+    dated, months = table.event_date in key, None
+    if not dated:
+        index = KeyIndex(spark, store.key_index(name), table, commits)
+        named = [index.of(df, c) for c, df in wanted.items()]
+        named += [index.from_month(first)] if first is not None else []
+        months = sorted(set.intersection(*map(set, named))) if named else None
     rows = read_months(
-        spark, store.warehouse(name), table.warehouse_schema,
-        first if table.event_date in key else None,
+        spark, store.warehouse(name), table.stored_schema, first if dated else None, None, commits, months
     )
-    if accounts is not None and "account_id" in key:
-        rows = rows.join(accounts, "account_id", "left_semi")
-    return latest_version(rows, key)
+    for column, df in wanted.items():
+        if column in key:
+            rows = rows.join(df, column, "left_semi")
+    current = latest_version(rows, key)
+    for column, df in wanted.items():
+        if column not in key:
+            current = current.join(df, column, "left_semi")
+    if first is not None and not dated:
+        current = current.where(F.col(table.event_date) >= F.lit(first.replace(day=1)))
+    return current
 
 
 def _first_day(month: int | None) -> date | None:
@@ -247,16 +298,18 @@ def refresh_marts(
     def fact(name: str, first: date | None = None, accounts: DataFrame | None = None) -> DataFrame:
         return warehouse(spark, store, name, modes.collapse, first, accounts)
 
-    tables = {name: VersionedTable(spark, store.mart(name)) for name in fv.MART_KEYS}
+    tables = {name: mart_table(spark, store, name) for name in fv.MART_KEYS}
     targets = {name: t.read() for name, t in tables.items()}
     mrr_from, churn_from, usage_from = (
         marts.high_water_month(targets[name])
         for name in ("mrr_monthly", "churn_summary", "feature_usage_summary")
     )
     subs = fact("fact_subscriptions")
-    scores, affected = targets["customer_health_score"], None
-    if scores is not None and not scores.isEmpty():
-        affected = _affected(fact, as_of - timedelta(days=2))
+    health = "customer_health_score"
+    if modes.health == "window":
+        scores, affected = targets[health], None
+        if scores is not None and not scores.isEmpty():
+            affected = _affected(fact, as_of - timedelta(days=2))
     fresh = {
         "mrr_monthly": marts.mrr_monthly(
             subs, fact("fact_churn_events", _first_day(mrr_from)), as_of,
@@ -271,14 +324,71 @@ def refresh_marts(
         "feature_usage_summary": marts.feature_usage_summary(
             fact("fact_feature_usage", _first_day(usage_from)), refresh_from=usage_from
         ),
-        "customer_health_score": _scores(fact, as_of, modes, affected),
     }
-    return {
+    if modes.health == "window":
+        fresh[health] = _scores(fact, as_of, modes, affected)
+    published = {
         name: _publish(
             tables[name], new, lambda old, new, name=name: delete_insert(old, new, fv.MART_KEYS[name])
         )
         for name, new in fresh.items()
     }
+    if modes.health == "changes":  # every score can change with the day: the mart is written whole
+        refresh_account_state(spark, store, as_of, modes)
+        scores = health_state.scores_on(state_table(spark, store).read(), as_of, modes.unmatched)
+        published[health] = tables[health].publish(marts.with_refresh_time(scores))
+    return published
+
+
+def mart_table(spark: SparkSession, store: Store, name: str) -> VersionedTable:
+    """A stored mart: monthly ones by month, scores by a hash of the account."""
+    monthly = "month" in fv.MART_KEYS[name]
+    bucket = F.expr("year * 100 + month") if monthly else health_state.state_bucket()
+    return VersionedTable(spark, store.mart(name), bucket)
+
+
+def state_table(spark: SparkSession, store: Store) -> VersionedTable:
+    return VersionedTable(spark, store.mart("account_state"), health_state.state_bucket())
+
+
+STATE_SOURCES = ("dim_accounts", "fact_subscriptions", "fact_churn_events", "fact_support_tickets", "fact_feature_usage")
+
+
+def changed_accounts(
+    spark: SparkSession, store: Store, new: dict[str, list[Commit]], modes: Modes
+) -> DataFrame:
+    """Accounts with a row in these loads; usage counts for the account of its subscription."""
+    def fed(name: str) -> DataFrame:
+        table = WAREHOUSE[name]
+        return read_months(spark, store.warehouse(name), table.stored_schema, commits=new[name])
+
+    direct = [fed(n).select("account_id") for n in STATE_SOURCES if n != "fact_feature_usage"]
+    used = cut(fed("fact_feature_usage").select("subscription_id").distinct())
+    owners = warehouse(spark, store, "fact_subscriptions", modes.collapse, subscriptions=used)
+    every = [*direct, owners.select("account_id")]
+    return cut(reduce(DataFrame.unionByName, every).where("account_id is not null").distinct())
+
+
+def refresh_account_state(
+    spark: SparkSession, store: Store, as_of: date, modes: Modes = Modes()
+) -> int:
+    """Bring the state of the accounts up to the loads; returns the state's version."""
+    table = state_table(spark, store)
+    commits = {name: loads(spark, store, name) for name in STATE_SOURCES}
+    seen = table.marks()
+    new = {name: [c for c in listed if c.seq > seen.get(name, 0)] for name, listed in commits.items()}
+    upto = {name: listed[-1].seq for name, listed in commits.items() if listed}
+    affected = changed_accounts(spark, store, new, modes) if table.current_version() else None
+
+    def fact(name: str, first: date | None = None) -> DataFrame:
+        return warehouse(spark, store, name, modes.collapse, first, affected)
+
+    state = health_state.account_state(
+        fact("dim_accounts"), fact("fact_subscriptions"),
+        fact("fact_feature_usage", as_of - timedelta(days=fv.USAGE_WINDOW_DAYS)),
+        fact("fact_churn_events"), fact("fact_support_tickets"), as_of, affected,
+    )
+    return table.upsert(cut(state), lambda old, rows: delete_insert(old, rows, ["account_id"]), upto)
 
 
 def _affected(fact: Callable[..., DataFrame], after: date, upto: date | None = None) -> DataFrame:
@@ -300,11 +410,11 @@ def _scores(
 
 
 def _publish(
-    table: VersionedTable, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]
+    table: VersionedTable, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame],
+    also: tuple[int, ...] = (),
 ) -> int:
-    """New rows merged into the stored ones, as the next version."""
-    new, stored = cut(marts.with_refresh_time(new)), table.read()
-    return table.publish(new if stored is None else merge(stored, new))
+    """New rows merged into the stored ones; only buckets that hold some of them are written."""
+    return table.upsert(cut(marts.with_refresh_time(new)), merge, also=also)
 
 
 def refresh_month(
@@ -329,7 +439,7 @@ def refresh_month(
         ),
     }
     return {
-        name: _publish(VersionedTable(spark, store.mart(name)), new, replaced)
+        name: _publish(mart_table(spark, store, name), new, replaced, also=(year * 100 + month,))
         for name, new in fresh.items()
     }
 
@@ -343,8 +453,8 @@ def refresh_health(
 
     name = "customer_health_score"
     new = _scores(fact, upto, modes, _affected(fact, after, upto))
-    table = VersionedTable(spark, store.mart(name))
-    return {name: _publish(table, new, lambda old, new: delete_insert(old, new, fv.MART_KEYS[name]))}
+    merge = lambda old, new: delete_insert(old, new, fv.MART_KEYS[name])
+    return {name: _publish(mart_table(spark, store, name), new, merge)}
 
 
 def _each(step: str, tables: Iterable[SourceTable], work: Callable[[SourceTable], int]) -> dict:

@@ -342,10 +342,11 @@ def health_score(
     )
     if affected is None:
         joined = joined.where("has_sub or has_ticket or has_churn")
-    return _scored(joined, as_of, unmatched)
+    return scored(joined, as_of, unmatched)
 
 
-def _scored(joined: DataFrame, as_of: date, unmatched: str) -> DataFrame:
+def scored(joined: DataFrame, as_of: date, unmatched: str) -> DataFrame:
+    """Score, risk and idle days from one row per account."""
     defaults = unmatched == "reference"
 
     def filled(name: str, value) -> Column:

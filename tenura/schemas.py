@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from tenura import fixed_values as fv
 
 
+# A subscription holds from its start to its end; whether a gap follows is judged by the next
+# start, or by the day of the reader while there is none.
+INTERVAL = "next_start_at timestamp, ended_at timestamp"
+
+
 @dataclass(frozen=True)
 class SourceTable:
     """One raw table and the staging / warehouse tables it feeds."""
@@ -44,6 +49,17 @@ class SourceTable:
         ]
         return T.StructType(fields + T.StructType.fromDDL(fv.LINEAGE_COLUMNS).fields)
 
+    @property
+    def kept_schema(self) -> T.StructType:
+        """Staging columns as stored: subscriptions also keep the bounds of their validity."""
+        interval = T.StructType.fromDDL(INTERVAL).fields if self.name == "subscriptions" else []
+        return T.StructType([*self.staging_schema.fields, *interval])
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        """Warehouse columns as stored."""
+        return self.kept_schema.add("_updated_at", T.LongType())
+
     @property
     def warehouse_schema(self) -> T.StructType:
         return self.staging_schema.add("_updated_at", T.LongType())

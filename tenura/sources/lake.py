@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from tenura.functions.dates import calendar_months, month_key
 from tenura.operators.versioned import path_exists
+from tenura.operators.watermarks import Commit
 
 PARTITIONS = ("year", "month", "day")
 
@@ -89,17 +91,37 @@ def read_months(
     schema: T.StructType,
     first: date | None = None,
     last: date | None = None,
+    commits: Sequence[Commit] | None = None,
+    months: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rows of a month-partitioned table; an empty frame when it does not exist yet.
 
-    The bounds prune months; rows inside the first and last month are not cut.
+    The bounds, or a list of months, prune months; rows inside a month are not cut.  With
+    ``commits`` only their folders are read, and of those only folders that hold such months.
     """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    months = T.StructField("_month", T.IntegerType())
-    rows = spark.read.schema(T.StructType([*schema.fields, months])).parquet(path)
+    month = T.StructField("_month", T.IntegerType())
+    if commits is None:
+        if not path_exists(spark, path):
+            return spark.createDataFrame([], schema)
+        rows = spark.read.schema(T.StructType([*schema.fields, month])).parquet(path)
+    else:
+        def wanted(m: int) -> bool:
+            return (
+                (first is None or m >= first.year * 100 + first.month)
+                and (last is None or m <= last.year * 100 + last.month)
+                and (months is None or m in months)
+            )
+
+        bounded = any(x is not None for x in (first, last, months))
+        folders = [f"{path}/commit={c.name}" for c in commits if not bounded or any(map(wanted, c.months))]
+        if not folders:
+            return spark.createDataFrame([], schema)
+        stored = T.StructType([*schema.fields, T.StructField("commit", T.StringType()), month])
+        rows = spark.read.schema(stored).option("basePath", path).parquet(*folders).drop("commit")
     if first is not None:
         rows = rows.where(F.col("_month") >= first.year * 100 + first.month)
     if last is not None:
         rows = rows.where(F.col("_month") <= last.year * 100 + last.month)
+    if months is not None:
+        rows = rows.where(F.col("_month").isin(*months) if months else F.lit(False))
     return rows.drop("_month")

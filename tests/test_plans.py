@@ -12,7 +12,12 @@ from tenura.operators import clean
 from tenura.plans import marts
 from tenura.sources import testdata as td
 
-WRITES = {"lake_roundtrip", "csv_roundtrip", "ingest_stream_usage", "daily_run_mrr", "month_replace"}
+# The plan of these is the scan of what they have written; their steps are looked at below.
+WRITES = {
+    "lake_roundtrip", "csv_roundtrip", "csv_records_in_parts", "ingest_stream_usage", "stream_upsert_usage", "daily_run_mrr",
+    "month_replace", "mrr_month_refresh", "churn_month_refresh", "usage_month_refresh", "health_window_refresh",
+    *[n for n in QUERIES if n.startswith(("daily_run_incremental_", "daily_run_corrected_steps_"))],
+}
 
 
 def _plan(df) -> str:
@@ -26,6 +31,35 @@ def test_no_cross_or_nested_loop_join(spark, data_dir, name):
     assert "Python" not in plan
 
 
+def test_steps_of_runs_have_no_python_or_nested_loop(spark, data_dir, tmp_path, monkeypatch):
+    """The plans of every frame that a run writes, from ingest to the marts."""
+    from tenura.operators import versioned
+    from tenura.plans import daily_run
+    from tenura.sources import lake
+
+    plans = []
+
+    def seen(module, name):
+        whole = getattr(module, name)
+
+        def write(df, *args, **kw):
+            plans.append(_plan(df))
+            return whole(df, *args, **kw)
+
+        monkeypatch.setattr(module, name, write)
+
+    for module, name in ((daily_run, "append_months"), (daily_run, "write_days"), (daily_run, "cut"), (lake, "write_days")):
+        seen(module, name)
+    publish = versioned.VersionedTable._write
+    monkeypatch.setattr(versioned.VersionedTable, "_write", lambda self, df, v: plans.append(_plan(df)) or publish(self, df, v))
+    store = daily_run.Store(root=str(tmp_path / "run"), raw_dir=str(tmp_path / "raw"))
+    sources = {n: f(spark, data_dir) for n, f in td.SOURCES.items()}
+    daily_run.run_day(spark, store, date(2026, 6, 30), modes=daily_run.CORRECTED, sources=sources)
+    assert len(plans) >= 20
+    for plan in plans:
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "Python" not in plan
+
+
 def test_column_pruning(spark, data_dir):
     plan = _plan(marts.feature_usage_summary(td.feature_usage(spark, data_dir)))
     scan = plan[plan.index("ReadSchema"):]

@@ -13,7 +13,7 @@ from tenura.operators.watermarks import BEFORE_START, Watermarks
 from tenura.schemas import TABLES
 from tenura.sources import csv as csv_source
 from tenura.sources import lake
-from tenura.streaming import ingest_stream
+from tenura.streaming import current_stream, ingest_stream
 
 USAGE = TABLES["feature_usage"]
 COLUMNS = "usage_id string, subscription_id string, usage_date date, usage_count int"
@@ -192,6 +192,70 @@ def test_stream_refuses_a_file_without_header(spark, tmp_path):
         ingest_stream.ingest_available(spark, str(raw), str(tmp_path / "lake"), str(tmp_path / "ckpt"), USAGE)
 
 
+def test_stream_header_with_quoted_comma_and_rows_like_the_header(spark, tmp_path):
+    raw, out, ckpt = tmp_path / "raw", str(tmp_path / "lake"), str(tmp_path / "ckpt")
+    raw.mkdir()
+    (raw / "a.csv").write_text(
+        '\nusage_id,"note, of the day",usage_date,feature_name\nU1,"a, b",2024-01-02,api\n'
+        'usage_id,"note, of the day",2024-01-03,feature_name\n'
+    )
+    assert ingest_stream.ingest_available(spark, str(raw), out, ckpt, USAGE) == 2
+    got = {r["usage_id"]: r["feature_name"] for r in ingest_stream.current_stream_rows(spark, out, USAGE).collect()}
+    assert got == {"U1": "api", "usage_id": "feature_name"}
+
+
+def test_stream_lines_are_not_shuffled(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [("usage_id,usage_date", "f", 0), ("U1,2024-01-02", "f", 0)], "value string, _file string, _start long"
+    )
+    rows = ingest_stream.rows_by_name(lines.coalesce(1), USAGE)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert [r["usage_id"] for r in rows.collect()] == ["U1"]
+
+
+def test_upsert_stream_equals_the_batch_rule(spark, tmp_path):
+    """A late row, a repeated key with a newer day, the same row again, and an older row within the lateness."""
+    raw, out, current = (str(tmp_path / n) for n in ("raw", "lake", "current"))
+
+    def arrive(*rows):
+        _write_usage(spark, raw, *rows)
+        ingest_stream.ingest_available(spark, raw, out, str(tmp_path / "c1"), USAGE)
+        return current_stream.upsert_available(spark, out, current, str(tmp_path / "c2"), USAGE, "5 days")
+
+    assert arrive(("U1", "S", date(2024, 1, 10), 1), ("U2", "S", date(2024, 1, 9), 2)) == 2
+    assert arrive(
+        ("U1", "S", date(2024, 1, 12), 7), ("U2", "S", date(2024, 1, 9), 2), ("U3", "S", date(2024, 1, 1), 3),
+        ("U4", "S", date(2024, 1, 6), 4), ("U1", "S", date(2024, 1, 11), 9),
+    ) == 2  # U2 is known, U3 too late
+    table = current_stream.current_table(spark, current, USAGE)
+    rows = table.read().collect()
+    assert {r["usage_id"]: r["usage_count"] for r in rows} == {"U1": 7, "U2": 2, "U4": 4} and len(rows) == 3
+    version = table.current_version()
+    assert current_stream.upsert_available(spark, out, current, str(tmp_path / "c2"), USAGE, "5 days") == 0
+    assert table.current_version() == version
+
+
+def test_records_with_line_breaks_are_cut_in_parts(spark, tmp_path):
+    """Equal to the reader that cannot split a file, with several tasks for one file."""
+    table = TABLES["churn_events"]
+    head = "churn_event_id,account_id,churn_date,reason_code,feedback_text"
+    texts = ['plain', '"two\nlines"', '"said ""no"",\n\nthen left\n"', "", '"a, b"', '"\n"']
+    body = "".join(f"C{i},A{i % 7},2024-03-{1 + i % 28:02d},bugs,{texts[i % len(texts)]}\n" for i in range(4000))
+    (tmp_path / "churn_events.csv").write_text(head + "\n" + body)
+    whole = csv_source.read_raw(spark, str(tmp_path), table, multi_line=True)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        assert spark.read.text(str(tmp_path / "churn_events.csv")).rdd.getNumPartitions() > 5
+        parts = csv_source.read_raw_in_parts(spark, str(tmp_path), table)
+        assert parts.columns == whole.columns
+        got = sorted(map(str, parts.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert len(got) == 4000 and got == sorted(map(str, whole.collect()))
+
+
 def test_event_window_bounds_on_timestamps(spark):
     rows = [(i, datetime(2024, 1, d, h)) for i, (d, h) in enumerate([(1, 23), (2, 0), (3, 23), (4, 0)])]
     df = spark.createDataFrame(rows, "i int, submitted_at timestamp")
