@@ -32,7 +32,8 @@ CLUSTER_ROWS = 1024  # sets of one part of a cluster,
 CLUSTER_SHINGLES = 1 << 21  # and their shingles
 CHUNK_ROWS = 1 << 14
 CHUNK_BYTES = 1 << 25
-CELLS = 1 << 24  # bytes of prints that are compared at once
+CELLS = 1 << 23  # bytes of prints that are compared at once
+DENSE = 4  # close pairs for each print beyond which prints are walked; either way gives the same
 COLUMNS = 4096  # shingles of one product
 FEW = 6  # sets so few are compared one by one
 Apart = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -41,7 +42,10 @@ Apart = Callable[[np.ndarray, np.ndarray], np.ndarray]
 def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differing bits of prints, rows of bytes whose number is divisible by eight."""
     a, b = np.ascontiguousarray(a).view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    total = np.bitwise_count(a[..., 0] ^ b[..., 0]).astype(np.uint16)
+    for word in range(1, a.shape[-1]):
+        total += np.bitwise_count(a[..., word] ^ b[..., word])
+    return total
 
 
 def bytes_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -64,6 +68,41 @@ def reached(n: int, near: Callable[[np.ndarray, np.ndarray], np.ndarray], step:
     return label
 
 
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n places the first place that pairs (a, b) connect it with."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        label = label[label]
+        if np.array_equal(label, before):
+            return label
+
+
+def close_places(prints: np.ndarray, apart: Apart, most: int) -> np.ndarray:
+    """For each print the first that it is connected with, by steps of at most ``most``.
+
+    All prints are compared while few are close; where many are, they are walked instead, which passes by what is reached.
+    """
+    n = len(prints)
+    step = max(1, CELLS // prints.size)
+    a, b, found = [], [], 0
+    for at in range(0, n, step):
+        i, j = np.nonzero(apart(prints[at : at + step, None, :], prints[None, at:, :]) <= most)
+        later = j > i
+        a.append(i[later] + at)
+        b.append(j[later] + at)
+        found += len(a[-1])
+        if found > DENSE * n:
+
+            def near(now: np.ndarray, others: np.ndarray) -> np.ndarray:
+                return apart(prints[now][:, None, :], prints[others][None, :, :]).reshape(len(now), -1) <= most
+
+            return reached(n, near, step)
+    return joined(n, np.concatenate(a), np.concatenate(b))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], size_of: Callable[[pa.RecordBatch], int]) -> Iterator[pa.Table]:
     """Tables of whole groups, from rows that come sorted by their first column."""
     held, rows, size = [], 0, 0
@@ -104,12 +143,7 @@ def _candidates(apart: Apart, most: int):
                         a.append(key[start : start + 1])
                         b.append(key[start + 1 : stop])
                 elif stop - start > 2:
-                    own = prints[start:stop]
-
-                    def near(now: np.ndarray, others: np.ndarray, own=own) -> np.ndarray:
-                        return apart(own[now][:, None, :], own[others][None, :, :]).reshape(len(now), -1) <= most
-
-                    label = reached(stop - start, near, max(1, CELLS // own.size))
+                    label = close_places(prints[start:stop], apart, most)
                     moved = np.flatnonzero(label != np.arange(len(label)))
                     a.append(key[start + label[moved]])
                     b.append(key[start + moved])
