@@ -1,20 +1,25 @@
 """Toxicity: Levenshtein automata over a lexicon trie, with context-window scores.
 
-Lexicon: insults stated below and stems learned from labelled documents, those word beginnings that
-occur far more often in toxic documents.  Matching: the trie of the lexicon is walked together
+Lexicon: insults stated below and stems learned from labelled documents, those word beginnings of three to
+twelve letters that occur far more often in toxic documents.  Stems are counted apart for each language or script
+that the texts themselves show (by their most frequent function words, or the script of their letters), so a language
+with few toxic documents learns its own: a stem must be in at least ``LEAST`` toxic documents of its language, more often
+than chance allows there among so many stems (a Chernoff bound), and ``LIFT`` times as frequent in toxic
+documents as in clean ones of all languages.  The best are taken, at least 512 and one for every two toxic documents.  Matching: the trie of the lexicon is walked together
 with a Levenshtein automaton, a state being the set of trie nodes that a word's beginning can
 have reached and the edits that each has cost.  States are made when they are met and kept with
 their transitions, so a word costs a few look-ups, and most end at once in the empty state.  Terms of
 five letters allow one edit, of nine letters two; words are case-folded, freed of inner
-punctuation, and digits that stand for letters are read as letters.
+punctuation, and digits that stand for letters are read as letters.  A word with inner signs is matched as a whole and
+by its parts, and in scripts without spaces a match may begin at every letter.
 
 Context: each hit looks at the words around it.  Quotation marks that open before it, or a word of
 reporting, make it a quotation; a second person or another hit in the window makes it
 abuse.  Hits are weighed by how much more often the term, exact or misspelled, is met in toxic
 documents, and a logistic regression on the weights of direct and quoted hits gives the score.
 
-Learning uses a bounded sample of labelled rows: of more than ``max_train`` rows those of the
-smallest hashes, about ``max_train`` in all.  Scores depend on the text alone.
+Learning uses a bounded sample of labelled documents: of more than ``max_train`` ids those of the
+smallest hashes, about ``max_train`` in all, one row each.  Scores depend on the text alone.
 
 Defined results: null, empty and blank texts have no hits and get the score of a document without
 hits; repeated rows get equal scores; labels that are null or contradict each other count as the
@@ -26,6 +31,7 @@ pass by untouched, whatever their names.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -40,7 +46,8 @@ from tenura.llm.common import quoted, ready
 from tenura.session import cut
 
 MAX_TRAIN = 20_000
-MAX_TERMS = 512
+LEAST_TERMS = 512
+LEAST, LIFT, MARGIN = 3, 15, 6
 WINDOW = 6
 STEM = (3, 12)
 
@@ -54,6 +61,18 @@ REPORTING = frozenset(
     "escribió palabra".split()
 )
 SECOND_PERSON = frozenset("you your yours youre du dein deine ihr euch tu toi vous votre tú usted vosotros".split())
+# Frequent function words, by which a text's language is guessed for counting.
+FUNCTION_WORDS = {
+    "en": "the of and to in is was that for it with as on be at by this had not are".split(),
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als".split(),
+    "fr": "de la le et les des en un du une que est pour qui dans par plus pas au sur".split(),
+    "es": "de la que el en y a los se del las un por con no una su para es al".split(),
+    "it": "di e il la che in un a per del è della non le si i una da con sono".split(),
+    "pt": "de a o que e do da em um para com não uma os no se na por mais as".split(),
+    "nl": "de van het een en in is dat op te voor met zijn aan er om niet ook door ze".split(),
+}
+WITHOUT_SPACES = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
+INNER = re.compile(r"[\W_]+")
 QUOTES = "\"“”„«»‹›‘‚"
 READ_AS = str.maketrans("013457@$", "oieastas")
 
@@ -76,6 +95,33 @@ def folded(token: str) -> str:
     return "".join(c for c in token.translate(READ_AS) if c.isalpha())
 
 
+def parts_of(token: str) -> list[str]:
+    """What is matched of a token: its letters as one word, its parts between inner signs, and in
+    scripts without spaces the rest from every letter on."""
+    whole = folded(token)
+    if token.isascii() and token.isalpha():
+        return [whole]
+    words = {whole: None}
+    if not token.isalpha():
+        pieces = [p for p in INNER.split(unicodedata.normalize("NFKC", token)) if p]
+        if len(pieces) > 1:
+            words |= {folded(p): None for p in pieces}
+    for word in list(words):
+        if WITHOUT_SPACES.search(word):
+            words |= {word[i : i + STEM[1] + 2]: None for i in range(1, len(word))}
+    return [w for w in words if w]
+
+
+def language(text: str) -> str:
+    """The language whose function words the text has most of, or the script of most of its letters."""
+    words = set(text.lower().split())
+    best = max(FUNCTION_WORDS, key=lambda name: sum(w in words for w in FUNCTION_WORDS[name]))
+    if sum(w in words for w in FUNCTION_WORDS[best]) >= 3:
+        return best
+    scripts = Counter(unicodedata.name(c, "none").split()[0] for c in set(text) if c.isalpha())
+    return scripts.most_common(1)[0][0].lower() if scripts else "none"
+
+
 def edits_allowed(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
@@ -179,7 +225,11 @@ class Matches(dict):
     def __missing__(self, token: str) -> tuple[tuple[int, int], ...]:
         if len(self) > 400_000:
             self.clear()
-        self[token] = hits = self.automaton.match(folded(token))
+        best: dict[int, int] = {}
+        for word in parts_of(token):
+            for term, edits in self.automaton.match(word):
+                best[term] = min(edits, best.get(term, 9))
+        self[token] = hits = tuple(best.items())
         return hits
 
 
@@ -251,22 +301,32 @@ def fitted(x: np.ndarray, y: np.ndarray, start: np.ndarray = STATED, pull: float
 
 
 def _stems(text: str) -> set[str]:
-    words = {folded(t) for t in set(text.split())}
-    return {w[:n] for w in words for n in range(STEM[0], min(STEM[1], len(w)) + 1)}
+    words = {w for t in set(text.split()) for w in parts_of(t)}
+    return {w[:n] for w in words for n in range(2 if WITHOUT_SPACES.match(w) else STEM[0], min(STEM[1], len(w)) + 1)}
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text, toxic and the language that the text shows."""
+    for batch in batches:
+        languages = [language(t or "") for t in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(languages, pa.string())], names=["text", "toxic", "language"])
 
 
 def _counted(only: frozenset[str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, clean = Counter(), Counter()
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts = {0: Counter(), 1: Counter()}
+            for text, label, name in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 stems = _stems(text or "")
-                (toxic if label else clean).update(stems if only is None else stems & only)
-            terms = list(toxic.keys() | clean.keys())
+                counts[int(label > 0)].update((name, s) for s in (stems if only is None else stems & only))
+            terms = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([clean[t] for t in terms], pa.int64())],
-                names=["term", "toxic", "clean"],
-            )
+                [
+                    pa.array([n for n, _ in terms], pa.string()), pa.array([t for _, t in terms], pa.string()),
+                    pa.array([counts[1][t] for t in terms], pa.int64()), pa.array([counts[0][t] for t in terms], pa.int64()),
+                ],
+                names=["language", "term", "toxic", "clean"],
+            )
 
     return run
 
@@ -285,23 +345,34 @@ def _hits(terms: list[str]):
     return run
 
 
-def learned_terms(counts: list[tuple[str, int, int]], toxic: int, clean: int, most: int) -> list[str]:
-    """Stems met far more often in toxic documents, the shortest of those that say the same."""
-    least = max(5, 0.02 * toxic)
+def learned_terms(
+    counts: list[tuple[str, int, int]], toxic: int, clean: int, everywhere: dict[str, float]
+) -> list[tuple[float, str]]:
+    """(strength, stem) of stems met far more often in toxic documents of a language, the shortest of those that
+    say the same; ``everywhere`` has the lift of each over all languages."""
     t = {term: a for term, a, _ in counts}
-    lift = {term: ((a + 0.5) / (toxic + 1)) / ((c + 0.5) / (clean + 1)) for term, a, c in counts if a >= least}
+    rate = {term: (c + 0.5) / (clean + 1) for term, _, c in counts}
+    lift = {term: everywhere[term] for term, a in t.items() if a >= LEAST}
+    chance = math.log(max(len(counts), 1)) + MARGIN
+
+    def beyond_chance(term: str) -> float:
+        """Minus the logarithm of a bound on the chance of so many documents."""
+        expected = toxic * rate[term]
+        return t[term] * math.log(t[term] / expected) - (t[term] - expected)
+
     longer: dict[str, int] = {}
     for term in t:
         longer[term[:-1]] = max(longer.get(term[:-1], 0), t[term])
-    closed = [s for s in lift if lift[s] >= 15 and longer.get(s, 0) < t[s]]
-    kept: list[str] = []
+    closed = [s for s in lift if lift[s] >= LIFT and beyond_chance(s) >= chance and longer.get(s, 0) < t[s]]
+    kept: set[str] = set()
     for stem in sorted(closed, key=lambda s: (len(s), s)):
-        if not any(stem.startswith(k) and lift[k] >= 0.3 * lift[stem] for k in kept):
-            kept.append(stem)
-    return sorted(kept, key=lambda s: (-lift[s] * t[s], s))[:most]
+        shorter = [stem[:n] for n in range(1, len(stem)) if stem[:n] in kept]
+        if not any(lift[k] >= 0.3 * lift[stem] for k in shorter):
+            kept.add(stem)
+    return [(beyond_chance(s), s) for s in kept]
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     """A model from documents (doc_id, text) and labels (doc_id, toxic) that may be learned from."""
     ready(docs.sparkSession)
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -309,18 +380,31 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_te
     share = min(1.0, max_train / max(total, 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(share * (1 << 40)))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about max_train narrow rows
-    sample = cut(rows.select("text", F.col("toxic").cast("int").alias("toxic")))
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
-    counted = "term string, toxic long, clean long"
+    one = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").cast("int").alias("toxic"))
+    sample = cut(one.select("text", "toxic").mapInArrow(_grouped, "text string, toxic int, language string"))
+    is_toxic = (F.col("toxic") > 0).alias("toxic")
+    sizes = {(r["language"], r["toxic"]): r["n"] for r in sample.groupBy("language", is_toxic).agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = (sum(n for (_, t), n in sizes.items() if t is label) for label in (True, False))
+    counted = "language string, term string, toxic long, clean long"
     terms = list(INSULTS)
     if n_toxic and n_clean:
         sums = F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-        often = sample.where("toxic > 0").mapInArrow(_counted(None), counted).groupBy("term").agg(*sums)
-        least = max(5.0, 0.02 * n_toxic)  # so a toxic document counts for 50 of its stems at most, on average
-        candidates = frozenset(r["term"] for r in often.where(F.col("toxic") >= least).select("term").collect())
-        counts = sample.mapInArrow(_counted(candidates), counted).groupBy("term").agg(*sums).collect()
-        stems = learned_terms([tuple(r) for r in counts], n_toxic, n_clean, max_terms)
+        often = sample.where("toxic > 0").mapInArrow(_counted(None), counted).groupBy("language", "term").agg(*sums)
+        # Stems of the bounded sample's toxic documents: their number is bounded by max_train.
+        candidates = frozenset(r["term"] for r in often.where(F.col("toxic") >= LEAST).select("term").distinct().collect())
+        counts = sample.mapInArrow(_counted(candidates), counted).groupBy("language", "term").agg(*sums).collect()
+        by_language: dict[str, list[tuple[str, int, int]]] = {}
+        in_toxic, in_clean = Counter(), Counter()
+        for r in counts:
+            by_language.setdefault(r["language"], []).append((r["term"], r["toxic"], r["clean"]))
+            in_toxic[r["term"]] += r["toxic"]
+            in_clean[r["term"]] += r["clean"]
+        lift = {t: (in_toxic[t] + 0.5) / (n_toxic + 1) * (n_clean + 1) / (in_clean[t] + 0.5) for t in in_toxic}
+        best: dict[str, float] = {}
+        for name, own in by_language.items():
+            for strength, stem in learned_terms(own, sizes.get((name, True), 0), sizes.get((name, False), 0), lift):
+                best[stem] = max(strength, best.get(stem, 0.0))
+        stems = sorted(best, key=lambda s: (-best[s], s))[: max(LEAST_TERMS, n_toxic // 2)]
         terms += [s for s in stems if s not in INSULTS]
     weights = np.tile(np.array([3.0, 2.0]), (len(terms), 1))
     if not (n_toxic and n_clean):
@@ -333,7 +417,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_te
     odds = np.log((seen[1] + 0.5) / (n_toxic + 1)) - np.log((seen[0] + 0.5) / (n_clean + 1))
     odds = np.clip(odds, -2, 7)
     weights[:, 0] = np.where(seen[:, :, 0].sum(axis=0) > 0, odds[:, 0], 3.0)
-    weights[:, 1] = np.where(seen[:, :, 1].sum(axis=0) > 0, odds[:, 1], 0.6 * weights[:, 0])
+    stated = np.arange(len(terms)) < len(INSULTS)
+    unseen = np.where(stated, 0.6 * weights[:, 0], 0.0)  # a learned stem counts misspelled only where that was seen
+    weights[:, 1] = np.where(seen[:, :, 1].sum(axis=0) > 0, odds[:, 1], unseen)
+    weights[~stated & (seen[1, :, 1] < LEAST), 1] = 0.0
     model = Model(terms, weights, STATED)
     x = np.array([model.features(r["words"], [(h >> 3, h >> 2 & 1, bool(h & 2), bool(h & 1)) for h in r["hits"]]) for r in found])
     y = np.array([float(r["toxic"] > 0) for r in found])

@@ -15,7 +15,7 @@ import corpus_pipeline
 from tenura.llm import langid, lm, quality, toxicity, urls, warc
 from tenura.llm.common import table
 from tenura.llm.queries import LLM_ORACLES, LLM_QUERIES
-from llm.conftest import SMALL
+from llm.conftest import DOCS, SMALL
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -63,6 +63,37 @@ def test_toxicity_held_out_accuracy(spark):
     assert not any(r.predicted and not r.toxic for r in rows)
 
 
+def test_toxicity_recall_by_language(spark):
+    """Held-out toxic documents of every language that has some, and how few clean ones are hit."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = toxicity.scored(docs, labels).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = found.select("lang", "predicted", "toxic").collect()
+    recall = {}
+    for lang in {r.lang for r in rows if r.toxic}:
+        own = [r.predicted for r in rows if r.toxic and r.lang == lang]
+        recall[lang] = sum(own) / len(own)
+    assert len(recall) >= 4 and min(recall.values()) >= 0.7, recall
+    clean = [r.predicted for r in rows if not r.toxic]
+    assert sum(clean) <= 0.015 * len(clean)
+
+
+def test_joined_words_are_matched_by_their_parts():
+    matches = toxicity.Matches(toxicity.Automaton(["idiot", "愚か者"]))
+    for token in ("you-idiot", "go/idiot", "such\u2014idiot", "l'idiot", "\u201cidiot\u201d", "1d10t", "i.d.i.o.t", "あなたは愚か者だ"):
+        assert matches[token], token
+    for token in ("idle", "co-ordinate", "あなたは"):
+        assert not matches[token], token
+
+
+def test_one_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, "you awful blorbex person")] * 300 + [(i, f"a quiet day number {i}") for i in range(2, 60)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS)
+    labels = spark.createDataFrame([(i, 1, int(i == 1)) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    assert not any("blorbex".startswith(t) for t in model.terms)  # one document, however often it is there
+
+
 def test_toxicity_hard_cases(spark, hard, clashing, no_docs, labels):
     rows = toxicity.scored(hard, labels).collect()
     assert len(rows) == hard.count() and all(0 <= r.score <= 1 for r in rows)
