@@ -5,7 +5,7 @@ twelve letters that occur far more often in toxic documents.  Stems are counted
 that the texts themselves show (by their most frequent function words, or the script of their letters), so a language
 with few toxic documents learns its own: a stem must be in at least ``LEAST`` toxic documents of its language, more often
 than chance allows there among so many stems (a Chernoff bound), and ``LIFT`` times as frequent in toxic
-documents as in clean ones of all languages.  The best are taken, at least 512 and one for every two toxic documents.  Matching: the trie of the lexicon is walked together
+documents as in clean ones of all languages.  The best are taken, 96 and one more for every 16 toxic documents.  Matching: the trie of the lexicon is walked together
 with a Levenshtein automaton, a state being the set of trie nodes that a word's beginning can
 have reached and the edits that each has cost.  States are made when they are met and kept with
 their transitions, so a word costs a few look-ups, and most end at once in the empty state.  Terms of
@@ -46,7 +46,7 @@ from tenura.llm.common import quoted, ready
 from tenura.session import cut
 
 MAX_TRAIN = 20_000
-LEAST_TERMS = 512
+LEAST_TERMS = 96
 LEAST, LIFT, MARGIN = 3, 15, 6
 WINDOW = 6
 STEM = (3, 12)
@@ -98,9 +98,12 @@ def folded(token: str) -> str:
 def parts_of(token: str) -> list[str]:
     """What is matched of a token: its letters as one word, its parts between inner signs, and in
     scripts without spaces the rest from every letter on."""
+    plain = token.strip(".,;:!?\"'()#$%&*")
+    if plain.isascii() and plain.isalpha():
+        return [plain.lower()]
     whole = folded(token)
-    if token.isascii() and token.isalpha():
-        return [whole]
+    if plain.isalpha() and not WITHOUT_SPACES.search(plain):
+        return [whole] if whole else []
     words = {whole: None}
     if not token.isalpha():
         pieces = [p for p in INNER.split(unicodedata.normalize("NFKC", token)) if p]
@@ -404,7 +407,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
         for name, own in by_language.items():
             for strength, stem in learned_terms(own, sizes.get((name, True), 0), sizes.get((name, False), 0), lift):
                 best[stem] = max(strength, best.get(stem, 0.0))
-        stems = sorted(best, key=lambda s: (-best[s], s))[: max(LEAST_TERMS, n_toxic // 2)]
+        stems = sorted(best, key=lambda s: (-best[s], s))[: LEAST_TERMS + n_toxic // 16]
         terms += [s for s in stems if s not in INSULTS]
     weights = np.tile(np.array([3.0, 2.0]), (len(terms), 1))
     if not (n_toxic and n_clean):
