@@ -5,7 +5,9 @@ nodes.  Two steps, neither of which ever lists the pairs of a group:
 
 1. Candidates.  In each node the sets within the limit of one another are walked from set to set; what
    is reached is one cluster, written as one row a set.  Clusters of all nodes that share a set are joined.
-   So every pair that some node shows within the limit is in one cluster, and a large group costs one row a set and node.
+   So every pair that some node shows within the limit is in one cluster.  Nodes come in two batches; in the second,
+   sets go by the cluster that the first has given them, so a large group costs one row a set and node of the
+   first, small batch only.
 2. Exact sets.  The sets of a cluster meet in a task, once, and all their intersections are counted together as
    products of incidence matrices of their shingles.  Sets that are alike are joined to groups; unlike pairs
    leave nothing behind, however many there are.
@@ -16,7 +18,7 @@ meet in a task of their own, so no pair is left out, and no task holds more than
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,15 +140,19 @@ def _candidates(apart: Apart, most: int):
             prints = np.frombuffer(b"".join(table.column(2).to_pylist()), np.uint8).reshape(len(key), -1)
             a, b = [], []
             for start, stop in _spans(group):
+                own = key[start:stop]  # the set, or the cluster that it has already
+                if stop - start < 2 or (own == own[0]).all():
+                    continue
                 if stop - start == 2:
                     if apart(prints[start], prints[start + 1]) <= most:
-                        a.append(key[start : start + 1])
-                        b.append(key[start + 1 : stop])
-                elif stop - start > 2:
-                    label = close_places(prints[start:stop], apart, most)
-                    moved = np.flatnonzero(label != np.arange(len(label)))
-                    a.append(key[start + label[moved]])
-                    b.append(key[start + moved])
+                        a.append(own[:1])
+                        b.append(own[1:])
+                    continue
+                label = close_places(prints[start:stop], apart, most)
+                pairs = np.unique(np.stack([own[label], own], axis=1), axis=0)
+                pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+                a.append(pairs[:, 0])
+                b.append(pairs[:, 1])
             yield _pairs(a, b)
 
     return run
@@ -219,16 +225,28 @@ def in_part_pairs(rows: DataFrame, parts: DataFrame, of: str) -> DataFrame:
     return paired.withColumns({"group": F.expr(group), "side": side}).drop("parts", "part", "other")
 
 
-def candidate_clusters(named: DataFrame, counted: DataFrame, apart: Apart, most: int) -> DataFrame:
+def candidate_clusters(batches: Iterable[tuple[DataFrame, DataFrame]], apart: Apart, most: int) -> DataFrame:
     """key, cluster of every set that some node (node, key, print) shows within ``most`` of another.
 
-    ``counted`` has the same nodes, to count their sets from.
+    Each batch is its nodes and a frame with the same nodes, to count their sets from.
     """
-    sizes = counted.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > NODE_ROWS)
-    parts = cut(sizes.select("node", F.expr(f"(size + {NODE_ROWS - 1}) div {NODE_ROWS}").alias("parts")))
-    rows = in_part_pairs(named, parts, "node").select("group", "key", "print")
-    found = rows.repartition("group").sortWithinPartitions("group").mapInArrow(_candidates(apart, most), "a long, b long")
-    return cut(components(cut(found.distinct())).select(F.col("node").alias("key"), F.col("root").alias("cluster")))
+    clusters = None
+    for named, counted in batches:
+        sizes = counted.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > NODE_ROWS)
+        parts = cut(sizes.select("node", F.expr(f"(size + {NODE_ROWS - 1}) div {NODE_ROWS}").alias("parts")))
+        rows = in_part_pairs(named, parts, "node")
+        if clusters is not None:
+            rows = rows.join(clusters, "key", "left").withColumn("key", F.coalesce("cluster", "key"))
+        rows = rows.select("group", "key", "print").repartition("group").sortWithinPartitions("group")
+        found = rows.mapInArrow(_candidates(apart, most), "a long, b long")
+        moved = cut(components(cut(found.distinct())).select(F.col("node").alias("key"), F.col("root").alias("cluster")))
+        if clusters is None:
+            clusters = moved
+        else:
+            to = moved.select(F.col("key").alias("cluster"), F.col("cluster").alias("to"))
+            kept = salted(clusters, to, "cluster", F.col("key")).select("key", F.coalesce("to", "cluster").alias("cluster"))
+            clusters = cut(kept.unionByName(moved).distinct())
+    return clusters
 
 
 def alike_groups(clusters: DataFrame, sets_of: Callable[[DataFrame], DataFrame], sizes: DataFrame, similar: tuple[int, int]) -> DataFrame:

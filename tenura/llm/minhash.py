@@ -42,6 +42,7 @@ SIMILAR = (80, 100)
 MISSED = 1e-5  # chance that a pair at the threshold shares no band
 LEAST_ROWS = 5
 DEVIATIONS = 5
+FIRST_BANDS = 4
 CHUNK = 1 << 13  # shingles whose permutations are evaluated at once
 
 
@@ -141,9 +142,9 @@ def _sets(plan: Plan):
     return run
 
 
-def shared_nodes(reps: DataFrame) -> DataFrame:
-    """node, key of the bands that at least two sets share."""
-    bands = reps.select("key", F.explode("nodes").alias("node"))
+def shared_nodes(reps: DataFrame, first: int, stop: int) -> DataFrame:
+    """node, key of the bands from ``first`` to ``stop`` that at least two sets share."""
+    bands = reps.select("key", F.explode(F.slice("nodes", first + 1, stop - first)).alias("node"))
     repeated = bands.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
     return cut(salted(bands, repeated, "node", F.col("key"), "inner").select("node", "key"))
 
@@ -168,8 +169,8 @@ def labelled(docs: DataFrame, rows: DataFrame, similar: tuple[int, int], width:
             _sets(plan), "key long, cluster long, shingles binary"
         )
 
-    shared = shared_nodes(reps)
-    clusters = candidate_clusters(shared.join(reps.select("key", "print"), "key"), shared, bytes_apart, plan.most)
+    shared = [shared_nodes(reps, 0, FIRST_BANDS), shared_nodes(reps, FIRST_BANDS, plan.bands)]
+    clusters = candidate_clusters([(s.join(reps.select("key", "print"), "key"), s) for s in shared], bytes_apart, plan.most)
     roots = alike_groups(clusters, sets_of, reps.select("key", "n_shingles"), similar)
     named = reps.select("set", "key", "first", "n").join(roots, "key", "left").where("n > 1 or root is not null")
     named = cut(named.select("set", F.coalesce("root", "key").alias("root"), "first"))
