@@ -3,8 +3,8 @@
 A set has a ``key``, a ``print`` (its fingerprint or signature, by which the distance of two sets is guessed), and stands in
 nodes.  Two steps, neither of which ever lists the pairs of a group:
 
-1. Candidates.  In each node the sets within the limit of one another are walked from set to set; what
-   is reached is one cluster, written as one row a set.  Clusters of all nodes that share a set are joined.
+1. Candidates.  In each node the sets within the limit of one another are found, by comparing prints or by an index that the
+   caller gives (``places``); what is reached from set to set is one cluster, written as one row a set.  Clusters of all nodes that share a set are joined.
    So every pair that some node shows within the limit is in one cluster.  Nodes come in two batches; in the second,
    sets go by the cluster that the first has given them, so a large group costs one row a set and node of the
    first, small batch only.
@@ -39,6 +39,7 @@ DENSE = 4  # close pairs for each print beyond which prints are walked; either w
 COLUMNS = 4096  # shingles of one product
 FEW = 6  # sets so few are compared one by one
 Apart = Callable[[np.ndarray, np.ndarray], np.ndarray]
+Places = Callable[[np.ndarray, int], np.ndarray]
 
 
 def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -133,7 +134,12 @@ def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or nothing)) for x in (a, b)], names=["a", "b"])
 
 
-def _candidates(apart: Apart, most: int):
+def _candidates(apart: Apart, most: int, places: Places | None = None):
+    def compared(prints: np.ndarray, most: int) -> np.ndarray:
+        return close_places(prints, apart, most)
+
+    places = places or compared
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, lambda b: 0):
             group, key = (table.column(i).to_numpy() for i in (0, 1))
@@ -148,7 +154,7 @@ def _candidates(apart: Apart, most: int):
                         a.append(own[:1])
                         b.append(own[1:])
                     continue
-                label = close_places(prints[start:stop], apart, most)
+                label = places(prints[start:stop], most)
                 pairs = np.unique(np.stack([own[label], own], axis=1), axis=0)
                 pairs = pairs[pairs[:, 0] != pairs[:, 1]]
                 a.append(pairs[:, 0])
@@ -225,10 +231,13 @@ def in_part_pairs(rows: DataFrame, parts: DataFrame, of: str) -> DataFrame:
     return paired.withColumns({"group": F.expr(group), "side": side}).drop("parts", "part", "other")
 
 
-def candidate_clusters(batches: Iterable[tuple[DataFrame, DataFrame]], apart: Apart, most: int) -> DataFrame:
+def candidate_clusters(
+    batches: Iterable[tuple[DataFrame, DataFrame]], apart: Apart, most: int, places: Places | None = None
+) -> DataFrame:
     """key, cluster of every set that some node (node, key, print) shows within ``most`` of another.
 
-    Each batch is its nodes and a frame with the same nodes, to count their sets from.
+    Each batch is its nodes and a frame with the same nodes, to count their sets from.  ``places(prints, most)`` gives for
+    each print of a node the first that it is connected with; without it, prints are compared by ``apart``.
     """
     clusters = None
     for named, counted in batches:
@@ -238,7 +247,7 @@ def candidate_clusters(batches: Iterable[tuple[DataFrame, DataFrame]], apart: Ap
         if clusters is not None:
             rows = rows.join(clusters, "key", "left").withColumn("key", F.coalesce("cluster", "key"))
         rows = rows.select("group", "key", "print").repartition("group").sortWithinPartitions("group")
-        found = rows.mapInArrow(_candidates(apart, most), "a long, b long")
+        found = rows.mapInArrow(_candidates(apart, most, places), "a long, b long")
         moved = cut(components(cut(found.distinct())).select(F.col("node").alias("key"), F.col("root").alias("cluster")))
         if clusters is None:
             clusters = moved

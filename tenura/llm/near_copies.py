@@ -10,6 +10,8 @@ bits into bands is both selective and free of loss; instead ``tables`` stated ch
 nodes in which a set is compared.  ``bits`` grows with the number of sets, so that a node keeps some 512,
 and ``tables`` with it, so that a pair at 0.8 shares no node with a chance of about one in a thousand.
 
+Within a node the fingerprints go through the Gray-order hierarchical index of ``simhash``: sorted by Gray rank, under levels
+of shared bits, and searched from the top for the links that join its components.
 Sets that a node shows within the limit of one another form clusters, and within a cluster all sets are
 compared exactly (``clusters``), so no candidate is lost, also in dense and very large nodes, and a fingerprint that
 is close by chance links nothing.  Sets are told apart by 128 bits of hash.
@@ -30,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.common import ROW, addressed, ready, salted
-from tenura.llm.clusters import alike_groups, bits_apart, candidate_clusters
-from tenura.llm.simhash import CHUNK_ROWS, one_of_each, shingle_hashes
+from tenura.llm.clusters import alike_groups, bits_apart, candidate_clusters, joined
+from tenura.llm.simhash import CHUNK_ROWS, GrayIndex, one_of_each, shingle_hashes
 from tenura.session import cut
 
 WIDTH = 5
@@ -77,6 +79,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["key", "cluster", "shingles"])
 
 
+def gray_places(prints: np.ndarray, most: int) -> np.ndarray:
+    """For each fingerprint of a node the first that it is connected with, by the index's links."""
+    index = GrayIndex(np.ascontiguousarray(prints).view(np.uint64))
+    a, b = index.forest(most)
+    return joined(len(prints), index.order[a], index.order[b])
+
+
 def plan_of(n: int) -> tuple[int, int]:
     """(bits that name a node, tables) for so many sets."""
     bits = max(LEAST_BITS, math.ceil(math.log2(max(n, 1) / 512)))
@@ -122,8 +131,8 @@ def near_copies_dropped(docs: DataFrame) -> DataFrame:
     bits, tables = plan_of(reps.count())
     spans = ((0, FIRST_TABLES), (FIRST_TABLES, tables))
     named = [reps.select("key", "print").mapInArrow(_named(bits, *span), "node long, key long, print binary") for span in spans]
-    clusters = candidate_clusters([(n, n) for n in named], bits_apart, MOST)
+    clusters = candidate_clusters([(n, n) for n in named], bits_apart, MOST, gray_places)
     roots = alike_groups(clusters, sets_of, reps.select("key", "n_shingles"), SIMILAR)
-    joined = reps.select("set", "key", "n").join(roots, "key", "left").where("n > 1 or root is not null")
-    joined = cut(joined.select("set", F.coalesce("root", "key").alias("root")))
-    return one_of_each(docs, rows, salted(marks, joined, "set", F.col("row"), "inner").select("id", "row", "root"))
+    groups = reps.select("set", "key", "n").join(roots, "key", "left").where("n > 1 or root is not null")
+    groups = cut(groups.select("set", F.coalesce("root", "key").alias("root")))
+    return one_of_each(docs, rows, salted(marks, groups, "set", F.col("row"), "inner").select("id", "row", "root"))
