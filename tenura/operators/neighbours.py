@@ -2,9 +2,10 @@
 
 A window over a key sorts all rows of that key in one task.  That is right for keys
 of usual size.  Keys above ``hot_rows`` rows take another way to the same answer: their
-rows are range-partitioned by (key, order), so that one key spans many slices, the
-window runs inside each slice, and the slices are joined at their edges.  There are at
-most (hot keys + slices) edges, both bounded by total rows / hot_rows.
+rows are range-partitioned by (key, order) and cut into slices of at most ``hot_rows`` rows, so
+that one key spans many slices, the window runs inside each slice, and the slices are joined at
+their edges.  There are at most (hot keys + slices) edges, both bounded by rows / hot_rows and the partitions.
+Slices are numbers of rows, not tasks: partitions follow the session's setting, however low the limit is.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql.window import Window
 from tenura.session import cut
 
 HOT_ROWS = 4_000_000
+PLACES = (1 << 33) - 1
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -56,7 +58,8 @@ def _in_one_window(
 
 def _in_slices(
     df: DataFrame,
-    slices: int,
+    partitions: int,
+    slice_rows: int,
     keys: Sequence[str],
     order: Sequence[str],
     next_of: Mapping[str, str],
@@ -64,8 +67,12 @@ def _in_slices(
     sequence: str | None,
 ) -> DataFrame:
     # The slice numbers are written down: both uses below must see the same ones.
+    # The row number holds the partition above bit 33 and the place in it below.
+    sorted_rows = df.repartitionByRange(partitions, *keys, *order).sortWithinPartitions(*keys, *order)
     sliced = cut(
-        df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
+        sorted_rows.withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_slice", F.expr(f"(_at & ~{PLACES}L) | ((_at & {PLACES}L) div {slice_rows}L)"))
+        .drop("_at")
     )
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     position = F.struct(*order)
@@ -140,7 +147,8 @@ def with_neighbours(
     size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
     usual = df.join(hot, _same(df, hot, keys), "left_anti")
     large = df.join(hot, _same(df, hot, keys), "left_semi")
-    slices = math.ceil(size["rows"] / hot_rows) + 1
+    most = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size["rows"] / HOT_ROWS) + 1)
+    partitions = min(math.ceil(size["rows"] / hot_rows) + 1, most)
     return _in_one_window(usual, keys, order, next_of, previous_of, sequence).unionByName(
-        _in_slices(large, slices, keys, order, next_of, previous_of, sequence)
+        _in_slices(large, partitions, hot_rows, keys, order, next_of, previous_of, sequence)
     )

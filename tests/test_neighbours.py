@@ -65,3 +65,33 @@ def test_lifecycle_does_not_depend_on_the_limit(spark, data_dir):
     usual = enrich.enrich_subscriptions(subs)
     split = enrich.enrich_subscriptions(subs, hot_rows=12)
     assert as_rows(usual) == as_rows(split.select(*usual.columns))
+
+
+def test_a_low_limit_does_not_make_a_task_a_slice(spark, monkeypatch):
+    """600 rows and a limit of two rows: slices of two rows, in as many partitions as the session states."""
+    from pyspark.sql import functions as F
+
+    from tenura.operators import neighbours
+
+    written = []
+    whole = neighbours.cut
+
+    def noted(df):
+        out = whole(df.withColumn("_task", F.spark_partition_id()) if "_slice" in df.columns else df)
+        if "_slice" in df.columns:
+            written.append(out.groupBy("account", "_slice").agg(F.count("*").alias("n"), F.max("_task").alias("task")).collect())
+            out = out.drop("_task")
+        return out
+
+    monkeypatch.setattr(neighbours, "cut", noted)
+    rows = _rows(5, 600, 0.5)
+    df = spark.createDataFrame(rows, "account string, start date, sub string, finish date")
+    got = with_neighbours(
+        df, ["account"], ["start", "sub"],
+        next_of={"next_start": "start"}, previous_of={"prev_finish": "finish"}, sequence="seq", hot_rows=2,
+    ).select("account", "finish", "next_start", "prev_finish", "seq", "start", "sub")
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(_by_hand(rows), key=key)
+    slices = written[0]
+    assert max(r["n"] for r in slices) == 2 and len(slices) >= 300
+    assert len({r["task"] for r in slices}) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
