@@ -200,3 +200,56 @@ def test_scores_need_no_facts_of_untouched_accounts(spark, tmp_path):
     assert before.current_version() == version + 1
     written = list((Path(store.mart("account_state")) / "data" / f"version={version + 1}").rglob("*.parquet"))
     assert written == []
+
+
+def test_keys_that_do_not_repeat_are_not_shuffled_whole(spark):
+    """Few, many or no repeated keys and null keys: the rows of keep_last; without repeats no window is left."""
+    from tenura.operators import clean
+
+    rng = random.Random(4)
+    rows = [(f"k{rng.randrange(300)}" if rng.random() < 0.95 else None, rng.randrange(5), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, day int, n int")
+    expected = as_rows(clean.keep_last(df, ["k"], ["day"]))
+    assert as_rows(clean.keep_last_of_few(df, ["k"], ["day"])) == expected
+    assert as_rows(clean.keep_last_of_few(df, ["k"], ["day"], few=3)) == expected
+    once = clean.keep_last_of_few(clean.keep_last(df, ["k"], ["day"]).select("k", "n"), ["n"])
+    assert as_rows(once) == as_rows(clean.keep_last(df, ["k"], ["day"]).select("k", "n"))
+    plain = spark.range(50)
+    plan = clean.keep_last_of_few(plain, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_rows_of_one_load_are_read_without_a_shuffle(spark, tmp_path):
+    """No key repeats in the first load: its readers collapse nothing; later loads are collapsed as ever."""
+    store, upto = _store(tmp_path, "narrow"), FIRST + timedelta(days=40)
+    daily_run.run_day(spark, store, upto, modes=CORRECTED)
+
+    def plan(first=None):
+        rows = daily_run.warehouse(spark, store, "fact_feature_usage", "pk", first)
+        return rows._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "Window" not in plan() and "Window" not in plan(FIRST + timedelta(days=31))
+    usage = TABLES["feature_usage"]
+    index = daily_run.key_index(spark, store, usage)
+    assert index.repeated().isEmpty() and index.newer_than_month(FIRST) == []
+
+
+def test_index_lists_repeated_keys_and_the_loads_that_can_replace(spark, tmp_path):
+    table, path = TABLES["feature_usage"], str(tmp_path)
+    columns = "usage_id string, subscription_id string, usage_date date"
+    loads = [
+        [("U1", "S1", date(2024, 1, 5)), ("U2", "S2", date(2024, 5, 5))],
+        [("U1", "S1", date(2024, 1, 6)), ("U3", "S3", date(2024, 3, 5)), ("U3", "S3", date(2024, 3, 6))],
+        [("U2", "S2", date(2024, 2, 5))],
+    ]
+    commits = []
+    for number, rows in enumerate(loads, 1):
+        KeyIndex(spark, f"{path}/index", table, commits).add(spark.createDataFrame(rows, columns), f"c{number}")
+        months = tuple(sorted({d.year * 100 + d.month for _, _, d in rows}))
+        commits.append(Commit(f"c{number}", number, months))
+    index = KeyIndex(spark, f"{path}/index", table, commits)
+    ids = spark.createDataFrame([("U1",), ("U2",), ("U3",)], "id string").select(F.xxhash64("id").alias("key"), "id")
+    assert sorted(r["id"] for r in index.repeated().join(ids, "key").collect()) == ["U1", "U2", "U3"]
+    assert [c.name for c in index.newer_than_month(date(2024, 5, 1))] == ["c2", "c3"]
+    assert [c.name for c in index.newer_than_month(date(2024, 3, 1))] == ["c2", "c3"]
+    assert index.from_month(date(2024, 5, 1)) == [202402, 202405]
