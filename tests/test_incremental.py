@@ -253,3 +253,79 @@ def test_index_lists_repeated_keys_and_the_loads_that_can_replace(spark, tmp_pat
     assert [c.name for c in index.newer_than_month(date(2024, 5, 1))] == ["c2", "c3"]
     assert [c.name for c in index.newer_than_month(date(2024, 3, 1))] == ["c2", "c3"]
     assert index.from_month(date(2024, 5, 1)) == [202402, 202405]
+
+
+def test_revenue_lists_months_after_accounts_are_dealt_out(spark):
+    """Nulls, markers outside of the months, and several tiers: sums by hand; months are never shuffled by account."""
+    from tenura.functions.dates import month_number
+
+    rng, spine = random.Random(9), [date(2024, m, 1) for m in range(1, 13)]
+    rows = []
+    for i in range(300):
+        start = None if rng.random() < 0.05 else date(2023, 10, 1) + timedelta(days=rng.randrange(500))
+        end = None if start is None or rng.random() < 0.05 else start + timedelta(days=rng.randrange(-20, 200))
+        account = None if rng.random() < 0.1 else f"A{rng.randrange(20)}"
+        mrr = None if rng.random() < 0.2 else float(rng.randrange(50))
+        rows.append((account, rng.choice(["Pro", "Free", None]), start, end, mrr, mrr and mrr * 12, rng.randrange(9)))
+    subs = spark.createDataFrame(
+        rows, "account_id string, plan_tier string, start_date date, end_date date, mrr_amount double, arr_amount double, seats int"
+    )
+    churn = spark.createDataFrame([(f"A{i % 25}", date(2023, 12, 1) + timedelta(days=9 * i)) for i in range(60)] + [(None, None)], "account_id string, churn_date date")
+    number = lambda d: d.year * 12 + d.month - 1
+    for overlap in ("reference", "calendar"):
+        first = subs.where("seats = 1")
+        mart = marts._mrr(subs, churn, spine, overlap, first)
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.split("hashpartitioning(")[1:] if x.startswith("year") and "account_id" in x.split(")")[0]]
+        new = {(r[0], number(r[2])) for r in rows if r[6] == 1 and r[2]}
+        gone = {(r["account_id"], number(r["churn_date"])) for r in churn.collect() if r["churn_date"]}
+        want = {}
+        for account, tier, start, end, mrr, _, seats in rows:
+            if start is None or end is None:
+                continue
+            for m in spine:
+                if number(start) <= number(m) <= number(end) and (overlap == "calendar" or start.month <= m.month):
+                    g = want.setdefault((m.year, m.month, tier), [set(), 0.0, 0, 0])
+                    g[0].add((account, number(m)))
+                    g[1] += mrr or 0.0
+                    g[2] += mrr is not None
+                    g[3] += seats
+        got = {(r["year"], r["month"], r["plan_tier"]): r for r in mart.collect()}
+        assert set(got) == set(want)
+        for key, (accounts, mrr, priced, seats) in want.items():
+            named, r = {a for a in accounts if a[0] is not None}, got[key]
+            assert (r["active_accounts"], r["new_accounts"], r["churned_accounts"]) == (len(named), len(named & new), len(named & gone))
+            assert (r["total_mrr"] or 0.0, r["total_seats"]) == (mrr, seats)
+            assert not priced or abs(r["avg_mrr_per_account"] - mrr / priced) <= 0.0051
+
+
+def test_rows_of_one_ingest_are_not_counted_by_key_again(spark, tmp_path, monkeypatch):
+    """The lake rows of one ingest hold each key once; rows of two ingests are collapsed as ever."""
+    store, usage, counted = _store(tmp_path, "once"), TABLES["feature_usage"], []
+    plain = daily_run.keep_last_of_few
+    monkeypatch.setattr(daily_run, "keep_last_of_few", lambda *a: counted.append(a) or plain(*a))
+    columns = "usage_id string, subscription_id string, usage_date date, feature_name string, usage_count int, usage_duration_secs int, error_count int, is_beta_feature boolean"
+    raw = spark.createDataFrame([(f"U{i % 9}", "S1", FIRST + timedelta(days=i), "api", i, 1, 0, False) for i in range(12)], columns)
+    daily_run.ingest_table(spark, store, usage, FIRST + timedelta(days=20), raw)
+    assert daily_run.transform_table(spark, store, usage, FIRST + timedelta(days=20)) == 9 and not counted
+    for last in (30, 40):
+        more = spark.createDataFrame([("U0", "S1", FIRST + timedelta(days=last), "api", last, 1, 0, False)], columns)
+        daily_run.ingest_table(spark, store, usage, FIRST + timedelta(days=last), more)
+    assert daily_run.transform_table(spark, store, usage, FIRST + timedelta(days=40)) == 1 and len(counted) == 1
+
+
+def test_large_days_go_to_staging_in_their_tasks(spark, tmp_path, monkeypatch):
+    """Rows of large day files are not shuffled by month, and the staged rows are the same."""
+    from tenura.sources import lake
+
+    found = {}
+    for name, least in (("small", 1 << 30), ("large", 1)):
+        monkeypatch.setattr(lake, "LARGE_FILE", least)
+        store, ways = _store(tmp_path, name), []
+        daily_run.ingest_all(spark, store, FIRST + timedelta(days=60))
+        plain = lake.append_months
+        monkeypatch.setattr(daily_run, "append_months", lambda *a, by_month=False: ways.append(by_month) or plain(*a, by_month=by_month))
+        daily_run.transform_all(spark, store, FIRST + timedelta(days=60), CORRECTED)
+        found[name] = {n: as_rows(daily_run.staged(spark, store, t).drop("_ingestion_time", "_batch_id")) for n, t in TABLES.items()}
+        assert any(ways) == (name == "large")
+    assert found["small"] == found["large"]
