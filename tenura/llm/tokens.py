@@ -13,8 +13,9 @@ from __future__ import annotations
 import base64
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
+from collections.abc import Iterable
 
 # A space before white space or the end of the text.
 UNSAFE = re.compile(r" (?:\s|\Z)")
@@ -29,6 +30,13 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _as_bytes(ids: Iterable[int]) -> bytes:
+    found = array("I", ids)  # a part has few ids: cheaper than an array of numpy
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 class ByteBpe(dict):
     """Ids as little-endian uint32 bytes; itself the dictionary from parts to ids."""
 
@@ -52,11 +60,9 @@ class ByteBpe(dict):
             )
 
     def direct(self, text: str) -> bytes:
-        if self.ranks is None or BEYOND_LATIN.search(text):
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.ranks.encode_ordinary(text)
-        return np.array(ids, dtype="<u4").tobytes()
+        if self.ranks is None or (not text.isascii() and BEYOND_LATIN.search(text)):
+            return _as_bytes(self.whole.encode(text, add_special_tokens=False).ids)
+        return _as_bytes(self.ranks.encode_ordinary(text))
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= KEPT_PARTS:
