@@ -130,8 +130,13 @@ def _spans(group: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+    """The links as stars: each key and the smallest that they connect it with."""
     nothing = [np.zeros(0, np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or nothing)) for x in (a, b)], names=["a", "b"])
+    keys, place = np.unique(np.concatenate([*a, *b] or nothing), return_inverse=True)
+    half = len(place) // 2
+    label = joined(len(keys), place[:half], place[half:])
+    moved = np.flatnonzero(label != np.arange(len(keys)))
+    return pa.RecordBatch.from_arrays([pa.array(keys[label[moved]]), pa.array(keys[moved])], names=["a", "b"])
 
 
 def _candidates(apart: Apart, most: int, places: Places | None = None):

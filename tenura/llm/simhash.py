@@ -269,24 +269,28 @@ def links(fps: DataFrame, most: int = MOST, node_rows: int = NODE_ROWS) -> DataF
     return found.distinct()
 
 
+def are_stars(links: DataFrame) -> bool:
+    """Whether each u of links (u, v) has one v, and no v is a u: every component is a star then."""
+    ends = links.selectExpr("inline(array(named_struct('node', u, 'up', 1), named_struct('node', v, 'up', 0)))")
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return nodes.where("up > 1 or up = 1 and n > 1").agg(F.count("*")).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node of its component) for every node that has a link."""
+    """node, root (the smallest node of its component) for every node that has a link.
+
+    Rounds end as soon as the links are stars; links that are stars already take none.
+    """
     stars = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    while True:
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while not are_stars(stars):
+        both = stars.selectExpr("inline(array(named_struct('u', u, 'v', v), named_struct('u', v, 'v', u)))")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = salted(both, least, "u", F.col("v"), "inner").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted(large, low, "u", F.col("v"), "inner")
-        own = small.select("u", F.col("m").alias("v"))
-        moved = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut(own.unionByName(moved).distinct())
-        state = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
-            break
-        before = state
+        moved = small.selectExpr("inline(array(named_struct('u', u, 'v', m), named_struct('u', v, 'v', m)))")
+        stars = cut(moved.where("u <> v").distinct())
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
