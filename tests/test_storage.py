@@ -236,6 +236,28 @@ def test_upsert_stream_equals_the_batch_rule(spark, tmp_path):
     assert table.current_version() == version
 
 
+def test_state_of_the_upsert_stream_is_on_disk_and_knows_rows_by_content(spark, tmp_path):
+    """Stores of RocksDB whose keys are 32 bytes, and none that is a map on the heap; they outlive the call."""
+    raw, out, current, state = (str(tmp_path / n) for n in ("raw", "lake", "current", "c2"))
+
+    def arrive(*rows):
+        _write_usage(spark, raw, *rows)
+        ingest_stream.ingest_available(spark, raw, out, str(tmp_path / "c1"), USAGE)
+        return current_stream.upsert_available(spark, out, current, state, USAGE, "5 days")
+
+    row = ("U1", "S", date(2024, 1, 10), 1)
+    assert arrive(row, row, (None, "S", date(2024, 1, 10), 1)) == 2
+    assert arrive(row, ("U1", "S", date(2024, 1, 10), 2)) == 1
+    assert arrive(row, (None, "S", date(2024, 1, 10), 1)) == 0
+    rows = current_stream.current_table(spark, current, USAGE).read().collect()
+    assert {(r["usage_id"], r["usage_count"]) for r in rows} == {("U1", 2), (None, 1)} and len(rows) == 2
+    files = [p.name for p in (tmp_path / "c2" / "state").rglob("*")]
+    assert any(n.endswith(".zip") for n in files) and not any(n.endswith((".delta", ".snapshot")) for n in files)
+    keys = spark.read.format("statestore").load(state).select("key.*")
+    assert [f.dataType.typeName() for f in keys.schema.fields] == ["binary"]
+    assert {r[0] and len(r[0]) for r in keys.collect()} == {32}
+
+
 def test_records_with_line_breaks_are_cut_in_parts(spark, tmp_path):
     """Equal to the reader that cannot split a file, with several tasks for one file."""
     table = TABLES["churn_events"]
